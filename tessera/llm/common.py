@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -43,6 +44,15 @@ def unpacked(df: DataFrame) -> list[Column]:
     return [F.col(ROW)[f].alias(f) for f in fields if f != "__none"]
 
 
+def written(df: DataFrame) -> DataFrame:
+    """The rows as Parquet in the shared folder, read again; for wide rows, which compress well there."""
+    spark = df.sparkSession
+    checkpoint(spark.range(0))  # makes sure of the folder
+    path = f"{spark.sparkContext.getCheckpointDir()}/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def join_unique(left: DataFrame, right: DataFrame, key: str, rows: Column, total: int, how: str = "inner") -> DataFrame:
     """Join many-to-one on ``key`` where a key may hold a third of the left rows.
 

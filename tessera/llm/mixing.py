@@ -20,7 +20,7 @@ from .common import ROW, packed, table, unpacked
 BINS = 4096
 #: Patterns are solved on the driver; more than this is refused with an error, never cut.
 MAX_PATTERNS = 200_000
-OUTPUT = ("size", "source_size", "target", "taken")
+OUTPUT = ("size", "source_size", "target", "taken", "copies")
 
 
 def word_count(text: Column) -> Column:
@@ -132,7 +132,7 @@ def min_cost_flow(supply: list[float], demand: list[float], arcs: list[tuple[int
 
 
 def mix(docs: DataFrame, members: Column, size: Column, key: Column, share: float = 1.5, weights: tuple[float, ...] = (3, 1, 2), most: int = 2, seed: int = 17) -> DataFrame:
-    """Each row of ``docs`` with ``size``, ``source_size``, ``target`` and ``taken`` (size times the copies the mix takes).
+    """Each row of ``docs`` with ``size``, ``source_size``, ``target``, ``taken`` and ``copies`` (taken is size times copies).
 
     ``members`` is the array of sources a row belongs to (a null element is a source of its own, an empty or null array
     none: such rows are never taken), ``size`` its words, ``key`` the value the seeded choice rests on. With several
@@ -180,7 +180,7 @@ def mix(docs: DataFrame, members: Column, size: Column, key: Column, share: floa
 
     out = rows.join(plans, "__p").join(F.broadcast(cut), "__p", "left")
     more = F.when(F.col("rest") <= 0, 0).when(F.col("edge").isNull(), 0).when(F.col("__bin") < F.col("edge"), 1).when((F.col("__bin") == F.col("edge")) & (F.col("__h") <= F.col("cut")), 1).otherwise(0)
-    out = out.withColumn("taken", F.col("size") * (F.col("whole") + more))
+    out = out.withColumn("copies", F.when(F.col("size") > 0, F.col("whole") + more).otherwise(0)).withColumn("taken", F.col("size") * F.col("copies"))
     return out.select(*unpacked(out), *OUTPUT)
 
 
