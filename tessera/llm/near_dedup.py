@@ -23,6 +23,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from xxhash import xxh3_64_intdigest
 
 from .common import ROW, checkpoint, join_unique, packed, table, unpacked
 
@@ -42,27 +43,21 @@ TABLE = 1 << 16
 OUTPUT = ("class_id", "class_size", "kept")
 
 
-class WordHashes(dict):
-    """word -> 64-bit hash, kept while small."""
+def shingles(text: str | None) -> np.ndarray:
+    """Sorted 64-bit hashes of all five-word shingles, repeats included; one of all words if fewer; none for an empty text.
 
-    def __missing__(self, word: str) -> int:
-        if len(self) > 400_000:
-            self.clear()
-        h = self[word] = int.from_bytes(blake2b(word.encode("utf-8", "surrogatepass"), digest_size=8).digest(), "little")
-        return h
-
-
-def shingles(text: str | None, words: WordHashes) -> np.ndarray:
-    """Sorted 64-bit hashes of all five-word shingles, repeats included; one of all words if fewer; none for an empty text."""
-    parts = (text or "").split()
+    Words are separated by ASCII white space.
+    """
+    parts = (text or "").encode("utf-8", "surrogatepass").split()
     n = len(parts)
     if not n:
         return np.zeros(0, np.uint64)
-    w = np.fromiter(map(words.__getitem__, parts), np.uint64, n)
+    w = np.fromiter(map(xxh3_64_intdigest, parts), np.uint64, n)
     k = min(WORDS, n)
     h = np.full(n - k + 1, k, np.uint64)
     for j in range(k):
-        h = h * np.uint64(0x9E3779B97F4A7C15) + w[j : n - k + 1 + j]
+        h *= np.uint64(0x9E3779B97F4A7C15)
+        h += w[j : n - k + 1 + j]
     h ^= h >> np.uint64(29)
     h *= np.uint64(0xBF58476D1CE4E5B9)
     h ^= h >> np.uint64(32)
@@ -74,12 +69,13 @@ def frequencies(texts: DataFrame) -> tuple[np.ndarray, int]:
     """(documents by slot of their shingles, documents), over all rows. The table has ``SLOTS`` entries at any input size."""
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        words, total, docs = WordHashes(), np.zeros(SLOTS, np.int64), 0
+        total, docs = np.zeros(SLOTS, np.int64), 0
         for b in batches:
             for t in b["text"]:
-                h = shingles(t, words)
+                h = shingles(t)
                 if len(h):
-                    total[np.unique(h >> np.uint64(44)).astype(np.int64)] += 1
+                    slot = (h >> np.uint64(44)).astype(np.int64)  # sorted, as h is
+                    total[slot[np.append(True, slot[1:] != slot[:-1])]] += 1
                     docs += 1
         for k in range(0, SLOTS, CHUNK):
             part = total[k : k + CHUNK]
@@ -149,11 +145,11 @@ def sketched(texts: DataFrame, weights) -> DataFrame:
     """
 
     def work(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        words, sampler, weigh = WordHashes(), Sampler(), weights.value
+        sampler, weigh = Sampler(), weights.value
         for b in batches:
             for begin_row in range(0, len(b), 64):
                 part = b.iloc[begin_row : begin_row + 64]
-                sets = [shingles(t, words) for t in part["text"]]
+                sets = [shingles(t) for t in part["text"]]
                 full = [i for i, h in enumerate(sets) if len(h)]
                 sig, bands, total = [None] * len(sets), [None] * len(sets), np.zeros(len(sets))
                 if full:
@@ -335,10 +331,9 @@ def outsiders_pairs(rows: DataFrame, labels: DataFrame, threshold: float) -> Dat
     main = sizes.groupBy("key").agg(F.max_by("comp", F.struct("count", "comp")).alias("main"), F.count(F.lit(1)).alias("parts"), F.sum("count").alias("members"))
     own = checkpoint(join_unique(own, main.where("parts > 1"), "key", F.col("members"), max(1, rows.count())))
     out = own.where("comp <> main").withColumn("deal", F.pmod(F.xxhash64(F.lit(3), "rid"), F.lit(1 << 20)))
-    deals = out.groupBy("key").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("long").alias("deals"))
-    deals = F.col("deals"), deals
-    members = join_unique(own, deals[1], "key", F.col("m"), max(1, own.count())).withColumn("deal", F.explode(F.sequence(F.lit(0).cast("long"), F.col("deals") - 1)))
-    out = out.join(deals[1], "key").withColumn("deal", F.pmod("deal", "deals"))
+    deals = out.groupBy("key").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("long").alias("deals"), F.max("members").alias("many"))
+    members = join_unique(own, deals, "key", F.col("many"), max(1, own.count())).withColumn("deal", F.explode(F.sequence(F.lit(0).cast("long"), F.col("deals") - 1)))
+    out = out.join(deals, "key").withColumn("deal", F.pmod("deal", "deals"))
     out = out.withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), F.ceil(F.col("m") / BLOCK).cast("long") - 1)))
     names = ["key", "block", "deal", "side", "rid", "w", "sig", "comp"]
     rows = members.withColumn("side", F.lit(1)).select(names).union(out.withColumn("side", F.lit(0)).select(names))
