@@ -22,14 +22,11 @@ OUTPUT = ("host", "text", "n_lines", "n_dropped")
 #: Elements that end a line (fixed values).
 BLOCKS = "address|article|aside|blockquote|body|br|caption|dd|div|dl|dt|fieldset|figcaption|figure|footer|form|h1|h2|h3|h4|h5|h6|head|header|hr|html|li|main|nav|ol|p|pre|section|table|tbody|td|tfoot|th|thead|title|tr|ul"
 STRIP = (
-    (r"(?is)<script\b[^>]*>.*?</script\s*>", "\n"),
-    (r"(?is)<style\b[^>]*>.*?</style\s*>", "\n"),
+    (r"(?is)<script\b[^>]*>.*?</script\s*>|<style\b[^>]*>.*?</style\s*>", "\n"),
     (r"(?s)<!--.*?-->", ""),
-    (r"[\t\n\x0B\f\r ]+", " "),
+    (r"[\t\n\x0B\f\r][\t\n\x0B\f\r ]*| [\t\n\x0B\f\r ]+", " "),  # runs that are not one space already
     (rf"(?i)</?(?:{BLOCKS})(?:[ /][^>]*)?>", "\n"),
     (r"<[^>]*>", ""),
-    (r" *\n[ \n]*", "\n"),
-    (r"^[ \n]+|[ \n]+$", ""),
 )
 ENTITIES = (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&nbsp;", " "), ("&amp;", "&"))
 
@@ -41,7 +38,7 @@ def lines_of_html(html: Column) -> Column:
         text = F.regexp_replace(text, pattern, by)
     for name, char in ENTITIES:
         text = F.replace(text, F.lit(name), F.lit(char))
-    return text
+    return F.array_join(F.transform(F.split(text, "\n"), lambda x: F.trim(x)), "\n")
 
 
 def line_dedup(pages: DataFrame, host: Column, text: Column, ratio: float = RATIO, least_pages: int = LEAST_PAGES, keep: tuple[str, ...] | None = None) -> DataFrame:
@@ -77,12 +74,13 @@ def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _sql() -> str:
     text = "coalesce(html, '')"
     for pattern, by in STRIP:
-        text = f"regexp_replace({text}, '{pattern}', '{by if by != chr(10) else '{NL}'}', 'g')"
+        text = f"regexp_replace({text}, '{pattern}', '{'{NL}' if by == chr(10) else by}', 'g')"
     for name, char in ENTITIES:
         text = f"replace({text}, '{name}', '{char.replace(chr(39), chr(39) * 2)}')"
     text = text.replace("'{NL}'", "chr(10)")
+    lines = f"list_transform(string_split({text}, chr(10)), lambda x: trim(x, ' '))"
     return f"""
-WITH p AS (SELECT page_id, translate(regexp_extract(coalesce(url, ''), '(?s)^.*?://([^/?#]*)', 1), '{UPPER}', '{LOWER}') AS host, string_split({text}, chr(10)) AS a FROM pages),
+WITH p AS (SELECT page_id, translate(regexp_extract(coalesce(url, ''), '(?s)^.*?://([^/?#]*)', 1), '{UPPER}', '{LOWER}') AS host, {lines} AS a FROM pages),
 q AS (SELECT page_id, host, list_filter(a, lambda x: x <> '') AS a, row_number() OVER () AS r FROM p),
 l AS (SELECT r, page_id, host, unnest(a) AS line, unnest(range(len(a))) AS i FROM q),
 c AS (SELECT host, line, count(DISTINCT r) AS n FROM l GROUP BY host, line),
