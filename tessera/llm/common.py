@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 ROW = "__row"
 #: A key holding more than this share of the rows is hot; there are at most ``1 / HOT_SHARE`` such keys.
 HOT_SHARE = 0.001
+BATCH_ROWS = 1000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -44,6 +45,16 @@ def unpacked(df: DataFrame) -> list[Column]:
     return [F.col(ROW)[f].alias(f) for f in fields if f != "__none"]
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Arrow batches of at most ``BATCH_ROWS`` rows from now on in this session; smaller settings stay.
+
+    Texts are read whole, so the default of 10,000 rows takes hundreds of MB in each Python worker, kept while it idles.
+    """
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(name, "10000")) <= BATCH_ROWS:
+        spark.conf.set(name, str(BATCH_ROWS))
+
+
 def written(df: DataFrame) -> DataFrame:
     """The rows as Parquet in the shared folder, read again; for wide rows, which compress well there."""
     spark = df.sparkSession

@@ -17,7 +17,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import ROW, packed, table, unpacked
+from .common import ROW, packed, small_batches, table, unpacked
 
 #: Elements whose content is no text (fixed values).
 RAW = frozenset("script style noscript template iframe object svg math canvas audio video select textarea button datalist head title".split())
@@ -179,6 +179,8 @@ def extract_text(pages: DataFrame, html_col: str = "html", keep: tuple[str, ...]
     Input columns named ``text`` or ``n_chars`` are replaced; null html gives empty text; empty tables give empty results.
     """
 
+    small_batches(pages.sparkSession)
+
     @F.pandas_udf("string")
     def extract(html: pd.Series) -> pd.Series:
         return pd.Series([main_text(h, window, least) for h in html], dtype=object)

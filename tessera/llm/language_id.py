@@ -16,7 +16,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import ROW, join_unique, packed, table, unpacked
+from .common import ROW, join_unique, packed, small_batches, table, unpacked
 from .url_filter import host_of
 
 BUCKETS = 1 << 16
@@ -108,6 +108,7 @@ def identify(docs: DataFrame, text_col: str = "text", declared_col: str | None =
     empty result.
     """
     spark = docs.sparkSession
+    small_batches(spark)
     text = F.coalesce(docs[f"`{text_col}`"], F.lit(""))
     tag = F.lower(F.trim(F.coalesce(docs[f"`{declared_col}`"], F.lit("")))) if declared_col else F.lit("")
     host = host_of(docs[f"`{url_col}`"]) if url_col else F.coalesce(docs[f"`{host_col}`"], F.lit("")) if host_col else F.lit("")

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from xxhash import xxh3_64_intdigest
 
-from .common import ROW, checkpoint, join_unique, packed, table, unpacked
+from .common import ROW, checkpoint, join_unique, packed, small_batches, table, unpacked
 
 WORDS, THRESHOLD = 5, 0.8
 BANDS, ROWS_A_BAND = 10, 3
@@ -357,6 +357,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     others; an empty table gives an empty result.
     """
     spark = docs.sparkSession
+    small_batches(spark)
     id_type = dict(docs.dtypes)[id_col]
     ident, text = docs[f"`{id_col}`"], docs[f"`{text_col}`"]
     texts = docs.select(F.monotonically_increasing_id().alias("rid"), ident.cast("string").alias("id"), F.xxhash64(ident, text).alias("key"), text.alias("text"))

@@ -17,7 +17,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import checkpoint, table
+from .common import checkpoint, small_batches, table
 
 VOCABULARY = "byte_bpe_50k"
 PIECES = "doc_id string, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
@@ -75,6 +75,7 @@ def pack(docs: DataFrame, width: int = 1024, id_col: str = "doc_id", text_col: s
     """
     import numpy as np
 
+    small_batches(docs.sparkSession)
     stream = checkpoint(tokenised(docs, id_col, text_col, name, end)).withColumn("part", F.spark_partition_id())
     totals = {r["part"]: r["n"] for r in stream.groupBy("part").agg(F.sum("n").alias("n")).collect()}  # a number a partition
     parts = sorted(totals)

@@ -20,7 +20,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import ROW, packed, table, unpacked
+from .common import ROW, packed, small_batches, table, unpacked
 
 MOST_POSITIVE, MOST_UNLABELLED = 3000, 9000
 #: Words that the model may weigh, at most, and the least positives a word must occur in.
@@ -127,6 +127,7 @@ def score(docs: DataFrame, model: tuple[np.ndarray, np.ndarray, float], id_col:
     Input columns named like an output are replaced; repeated rows score alike; an empty table gives an empty result.
     """
     words, weights, bias = model
+    small_batches(docs.sparkSession)
     sent = docs.sparkSession.sparkContext.broadcast(({int(k): float(w) for k, w in zip(words, weights, strict=True)}, float(bias)))  # at most MOST_FEATURES
 
     @F.pandas_udf("double")
