@@ -15,7 +15,7 @@ import json
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import ROW, packed, table, unpacked
+from .common import ROW, checkpoint, packed, table, unpacked
 
 BINS = 4096
 #: Patterns are solved on the driver; more than this is refused with an error, never cut.
@@ -144,7 +144,9 @@ def mix(docs: DataFrame, members: Column, size: Column, key: Column, share: floa
     rows = docs.select(packed(docs, OUTPUT), pattern.alias("__p"), F.coalesce(size, F.lit(0)).cast("long").alias("size"), F.xxhash64(F.lit(seed), key).alias("__h"))
     rows = rows.withColumn("__bin", F.pmod("__h", F.lit(BINS)).cast("int"))
 
-    bins = rows.groupBy("__p", "__bin").agg(F.sum("size").alias("n"))
+    # Texts are read twice in all, for these narrow rows and for the result.
+    narrow = checkpoint(rows.select("__p", "__bin", "__h", "size"))
+    bins = narrow.groupBy("__p", "__bin").agg(F.sum("size").alias("n"))
     bins = bins.withColumn("upto", F.sum("n").over(Window.partitionBy("__p").orderBy("__bin")))
     totals = bins.groupBy("__p").agg(F.sum("n").alias("n"))
     found = [(r["__p"], r["n"]) for r in totals.limit(MAX_PATTERNS + 1).collect()]
@@ -172,7 +174,7 @@ def mix(docs: DataFrame, members: Column, size: Column, key: Column, share: floa
     plans = F.broadcast(spark.createDataFrame(plan, schema))  # at most MAX_PATTERNS rows
 
     edge = bins.join(plans, "__p").where("rest > 0 and upto - n < rest and upto >= rest").select("__p", "__bin", (F.col("rest") - F.col("upto") + F.col("n")).alias("room"))
-    inside = rows.select("__p", "__bin", "__h", "size").join(F.broadcast(edge), ["__p", "__bin"]).groupBy("__p", "room", "__bin", "__h").agg(F.sum("size").alias("s"))
+    inside = narrow.join(F.broadcast(edge), ["__p", "__bin"]).groupBy("__p", "room", "__bin", "__h").agg(F.sum("size").alias("s"))
     order = Window.partitionBy("__p").orderBy("__h")
     inside = inside.withColumn("upto", F.sum("s").over(order)).where("upto - s / 2 <= room")
     cuts = edge.select("__p", "__bin").join(inside.groupBy("__p").agg(F.max("__h").alias("cut")), "__p", "left").withColumnRenamed("__bin", "edge")
