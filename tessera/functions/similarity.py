@@ -113,7 +113,7 @@ SQL_FUNCTIONS = {"indel_ratio": indel_ratio, "token_set_ratio": token_set, "toke
 
 
 def register(spark) -> None:
-    """The similarities, the ASCII fold and the skeleton by name for SQL text; the latter two as SQL functions of the session."""
+    """The similarities by name for SQL text."""
     for name, f in SQL_FUNCTIONS.items():
         spark.udf.register(name, f)
 

@@ -130,7 +130,7 @@ def split(x: str) -> str:
 SIDES = """sd AS MATERIALIZED (SELECT c.*, e.name_norm AS name1, e.name_core AS core1, e.addr_norm AS addr1, e.name_skel AS skel1, q.name_norm AS name2, q.name_core AS core2, q.addr_norm AS addr2,
   q.name_skel AS skel2, q.nonascii AS nonascii2 FROM cand c JOIN rec e ON e.src = 1 AND e.id = c.s1_id JOIN rec q ON q.src = c.q_src AND q.id = c.q_id)"""
 N1, N2 = (f"regexp_extract_all(addr{i}, '\\b\\d+\\b')" for i in (1, 2))
-SETS = f"""{jacc(N1, N2)} AS num_jacc, CASE WHEN len({N1}) = 0 OR len({N2}) = 0 THEN -1.0 WHEN ({N1})[1] = ({N2})[1] THEN 1.0 ELSE 0.0 END AS num_first_eq,
+SETS = f"""{jacc(N1, N2)} AS num_jacc, CAST(CASE WHEN len({N1}) = 0 OR len({N2}) = 0 THEN -1 WHEN ({N1})[1] = ({N2})[1] THEN 1 ELSE 0 END AS DOUBLE) AS num_first_eq,
   CAST(len(list_distinct({N1})) AS BIGINT) AS num_n1, CAST(len(list_distinct({N2})) AS BIGINT) AS num_n2, {jacc(split('addr1'), split('addr2'))} AS addr_jacc, {jacc(split('core1'), split('core2'))} AS core_jacc,
   {jacc(split('skel1'), split('skel2'))} AS skel_jacc, CAST(len({split('core1')}) AS BIGINT) AS core_len1, CAST(len({split('core2')}) AS BIGINT) AS core_len2, CAST(addr2 = '' AS BIGINT) AS addr_empty2"""
 SCORED = f"""{CANDS},
