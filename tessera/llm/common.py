@@ -45,6 +45,17 @@ def unpacked(df: DataFrame) -> list[Column]:
     return [F.col(ROW)[f].alias(f) for f in fields if f != "__none"]
 
 
+def settled(df: DataFrame, rows_a_part: int = 20_000) -> tuple[DataFrame, int]:
+    """A checkpoint and its rows, read in as few partitions as they fill, but no fewer than the cluster's slots.
+
+    What follows a small result then writes few files, however many partitions the session shuffles by.
+    """
+    out = checkpoint(df)
+    rows, parts = out.count(), out.rdd.getNumPartitions()
+    few = max(-(-rows // rows_a_part), out.sparkSession.sparkContext.defaultParallelism)
+    return (out.coalesce(few) if few < parts else out), rows
+
+
 def small_batches(spark: SparkSession) -> None:
     """Arrow batches of at most ``BATCH_ROWS`` rows from now on in this session; smaller settings stay.
 

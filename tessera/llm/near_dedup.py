@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from xxhash import xxh3_64_intdigest
 
-from .common import ROW, checkpoint, join_unique, packed, small_batches, table, unpacked
+from .common import ROW, checkpoint, join_unique, packed, settled, small_batches, table, unpacked
 
 WORDS, THRESHOLD = 5, 0.8
 BANDS, ROWS_A_BAND = 10, 3
@@ -40,6 +40,8 @@ SMALL, BLOCK, HUBS, CLOSEST = 64, 256, 4, 3
 #: Least number of equal samples of a pair that goes on: at similarity 0.8 fewer than 15 of 30 come about 2 times in 100,000.
 LEAST_EQUAL = SAMPLES // 2
 TABLE = 1 << 16
+#: Links whose components are found by broadcast, at most: about 40 MB in a hash table.
+BROADCAST_LINKS = 500_000
 OUTPUT = ("class_id", "class_size", "kept")
 
 
@@ -81,14 +83,14 @@ def frequencies(texts: DataFrame) -> tuple[np.ndarray, int]:
             part = total[k : k + CHUNK]
             at = np.flatnonzero(part)
             if len(at):
-                yield pd.DataFrame({"chunk": [k // CHUNK], "deal": [int(docs + at[0]) % 8], "at": [at.astype("<u2").tobytes()], "n": [part[at].astype("<i8").tobytes()]})
+                yield pd.DataFrame({"chunk": [k // CHUNK], "deal": [int(docs + at[0]) % 8], "at": [at.astype("<u2").tobytes()], "n": [part[at].astype("<u4").tobytes()]})
         if docs:
-            yield pd.DataFrame({"chunk": [-1], "deal": [docs % 8], "at": [b"\0\0"], "n": [np.array([docs], "<i8").tobytes()]})
+            yield pd.DataFrame({"chunk": [-1], "deal": [docs % 8], "at": [b"\0\0"], "n": [np.array([docs], "<u4").tobytes()]})
 
     def merge(part: pd.DataFrame) -> pd.DataFrame:
         total = np.zeros(CHUNK, np.int64)
-        for at, n in zip(part["at"], part["n"], strict=True):
-            total[np.frombuffer(at, "<u2")] += np.frombuffer(n, "<i8")
+        for at, n in zip(part["at"], part["n"], strict=True):  # 4 bytes a count from a task, 8 once summed
+            total[np.frombuffer(at, "<u2")] += np.frombuffer(n, "<u4" if 2 * len(at) == len(n) else "<i8")
         at = np.flatnonzero(total)
         return pd.DataFrame({"chunk": [int(part["chunk"].iloc[0])], "deal": [0], "at": [at.astype("<u2").tobytes()], "n": [total[at].astype("<i8").tobytes()]})
 
@@ -266,7 +268,7 @@ def block_pairs(rows: DataFrame, threshold: float) -> DataFrame:
             return out
         rank = F.row_number().over(Window.partitionBy("key", "block").orderBy(F.desc("mass"), "rid"))  # about BLOCK rows each
         hubs = dealt.where(F.col("m") > BLOCK).withColumn("rank", rank).where(F.col("rank") <= HUBS)
-        rows = checkpoint(hubs.withColumn("m", F.ceil(F.col("m") / BLOCK) * HUBS).select("key", "rid", "w", "sig", "mass", "m"))
+        rows, _ = settled(hubs.withColumn("m", F.ceil(F.col("m") / BLOCK) * HUBS).select("key", "rid", "w", "sig", "mass", "m"))
 
 
 def verified(pairs: DataFrame, sets: DataFrame, weights, threshold: float) -> DataFrame:
@@ -301,22 +303,26 @@ def verified(pairs: DataFrame, sets: DataFrame, weights, threshold: float) -> Da
 
 
 def components(edges: DataFrame, labels: DataFrame | None = None) -> DataFrame:
-    """(rid, comp): the least rid of each node's component, for nodes with an edge or in ``labels`` (components so far)."""
-    both = checkpoint(edges.select("a", "b").union(edges.select("b", "a")).distinct().toDF("rid", "to"))
-    new = both.select("rid").distinct()
-    if labels is None:
-        at = new.withColumn("comp", F.col("rid"))
-    else:
-        at = new.join(labels, "rid", "full").withColumn("comp", F.coalesce("comp", "rid"))
-        # A component so far is linked through its label's node.
+    """(rid, comp): the least rid of each node's component, for nodes with an edge or in ``labels`` (components so far).
+
+    Up to ``BROADCAST_LINKS`` links (two longs each) the labels go to the links by broadcast; beyond it both are shuffled.
+    """
+    both = edges.select("a", "b").union(edges.select("b", "a"))
+    if labels is not None:  # a component so far is linked through its label's node
         own = labels.where("rid <> comp")
-        both = checkpoint(both.union(own.select("rid", "comp")).union(own.select("comp", "rid")).distinct())
-    at = checkpoint(at)
+        both = both.union(own.select("rid", "comp")).union(own.select("comp", "rid"))
+    both, links = settled(both.distinct().toDF("rid", "to"))
+    near = F.broadcast if links <= BROADCAST_LINKS else lambda df: df
+    at = both.select("rid").distinct()
+    if labels is not None:
+        at = at.union(labels.select("rid")).distinct()
+    at, _ = settled(at.withColumn("comp", F.col("rid")))
     while True:
-        low = both.join(at.select(F.col("rid").alias("to"), "comp"), "to").groupBy("rid").agg(F.min("comp").alias("low"))
-        step = at.join(low, "rid", "left").select("rid", F.col("comp").alias("was"), F.least("comp", F.coalesce("low", "comp")).alias("comp"))
+        low = both.join(near(at.select(F.col("rid").alias("to"), "comp")), "to").groupBy("rid").agg(F.min("comp").alias("low"))
+        step = at.join(near(low), "rid", "left").select("rid", F.col("comp").alias("was"), F.least("comp", F.coalesce("low", "comp")).alias("comp"))
+        step, _ = settled(step)
         up = step.select(F.col("rid").alias("comp"), F.col("comp").alias("up"))
-        step = checkpoint(step.join(up, "comp", "left").select("rid", "was", F.least("comp", F.coalesce("up", "comp")).alias("comp")))
+        step, _ = settled(step.join(near(up), "comp", "left").select("rid", "was", F.least("comp", F.coalesce("up", "comp")).alias("comp")))
         at = step.select("rid", "comp")
         if step.where("was <> comp").isEmpty():
             return at
@@ -329,10 +335,10 @@ def outsiders_pairs(rows: DataFrame, labels: DataFrame, threshold: float) -> Dat
     own = own.withColumn("block", F.pmod(F.xxhash64("rid"), F.ceil(F.col("m") / BLOCK).cast("long")))
     sizes = own.groupBy("key", "comp").count()
     main = sizes.groupBy("key").agg(F.max_by("comp", F.struct("count", "comp")).alias("main"), F.count(F.lit(1)).alias("parts"), F.sum("count").alias("members"))
-    own = checkpoint(join_unique(own, main.where("parts > 1"), "key", F.col("members"), max(1, rows.count())))
+    own, rows_own = settled(join_unique(own, main.where("parts > 1"), "key", F.col("members"), max(1, rows.count())))
     out = own.where("comp <> main").withColumn("deal", F.pmod(F.xxhash64(F.lit(3), "rid"), F.lit(1 << 20)))
     deals = out.groupBy("key").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("long").alias("deals"), F.max("members").alias("many"))
-    members = join_unique(own, deals, "key", F.col("many"), max(1, own.count())).withColumn("deal", F.explode(F.sequence(F.lit(0).cast("long"), F.col("deals") - 1)))
+    members = join_unique(own, deals, "key", F.col("many"), max(1, rows_own)).withColumn("deal", F.explode(F.sequence(F.lit(0).cast("long"), F.col("deals") - 1)))
     out = out.join(deals, "key").withColumn("deal", F.pmod("deal", "deals"))
     out = out.withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), F.ceil(F.col("m") / BLOCK).cast("long") - 1)))
     names = ["key", "block", "deal", "side", "rid", "w", "sig", "comp"]
@@ -367,26 +373,25 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     name = F.col("id").cast(id_type)
     first = F.min(F.struct(name.isNull().alias("none"), name.alias("id"), F.col("rid").alias("rid")))
     groups = every.groupBy("cls").agg(first.alias("best"), F.count(F.lit(1)).alias("copies"), F.first("w").alias("w"), F.first("sig").alias("sig"), F.first("bands").alias("bands"))
-    groups = checkpoint(groups.withColumn("rid", F.col("best.rid")))
-    n = groups.count()
+    groups, n = settled(groups.withColumn("rid", F.col("best.rid")))
 
     banded = groups.where("bands is not null").select("rid", F.explode("bands").alias("key"))
     sizes = banded.groupBy("key").agg(F.count(F.lit(1)).alias("m")).where("m > 1")
-    buckets = checkpoint(join_unique(banded, sizes, "key", F.col("m"), max(1, n)))
+    buckets, _ = settled(join_unique(banded, sizes, "key", F.col("m"), max(1, n)))
     mass = buckets.groupBy("rid").agg(F.sum("m").alias("mass"))
-    members = checkpoint(groups.select("rid", "w", "sig").join(mass, "rid"))  # only texts that share a bucket
+    members, _ = settled(groups.select("rid", "w", "sig").join(mass, "rid"))  # only texts that share a bucket
     filled = buckets.join(members, "rid")
     small = filled.where(F.col("m") <= SMALL)
-    large = checkpoint(filled.where(F.col("m") > SMALL))
+    large, in_large = settled(filled.where(F.col("m") > SMALL))
 
-    pairs = checkpoint(small_pairs(small, threshold).union(block_pairs(large, threshold)).distinct())
-    sets = checkpoint(some_sets(every, members))
-    edges = checkpoint(verified(pairs, sets, weights, threshold))
+    pairs, _ = settled(small_pairs(small, threshold).union(block_pairs(large, threshold)).distinct())
+    sets, _ = settled(some_sets(every, members), 5000)
+    edges, _ = settled(verified(pairs, sets, weights, threshold))
     labels = components(edges)
-    if not large.isEmpty():
-        more = checkpoint(outsiders_pairs(large, labels, threshold).distinct().join(pairs, ["a", "b"], "left_anti"))
-        more = checkpoint(verified(more, sets, weights, threshold))
-        if not more.isEmpty():
+    if in_large:
+        more, _ = settled(outsiders_pairs(large, labels, threshold).distinct().join(pairs, ["a", "b"], "left_anti"))
+        more, found = settled(verified(more, sets, weights, threshold))
+        if found:
             labels = components(more, labels)
 
     at = groups.select("cls", "rid", "best", "copies").join(labels, "rid", "left").withColumn("comp", F.coalesce("comp", "rid"))
@@ -414,7 +419,7 @@ def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str
     """
     judged = near_duplicates(docs, id_col, text_col, threshold)
     by_key = judged.groupBy("key").agg(F.max("kept").alias("stays"), F.count(F.lit(1)).alias("rows"))
-    odd = checkpoint(by_key.where("not stays or rows > 1"))  # gone, or to be thinned to one row
+    odd, _ = settled(by_key.where("not stays or rows > 1"))  # gone, or to be thinned to one row
     rows = docs.select(packed(docs), F.xxhash64(docs[f"`{id_col}`"], docs[f"`{text_col}`"]).alias("key"))
     told = join_unique(rows, odd, "key", F.col("rows"), max(1, judged.count()), "left")
     once = told.where("stays").dropDuplicates(["key"]).select(ROW)
