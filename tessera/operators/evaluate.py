@@ -142,3 +142,49 @@ def simulate(superset: DataFrame, truth: DataFrame, queries: DataFrame, policies
     got = kept.groupBy("policy").agg(F.sum("label").alias("hits"), F.count(F.lit(1)).alias("pairs"))
     n = truth.agg(F.count(F.lit(1)).alias("n_true")).crossJoin(queries.agg(F.count(F.lit(1)).alias("nq")))
     return got.crossJoin(n).select("policy", F.round(F.try_divide("hits", "n_true"), 6).alias("recall"), F.round(F.try_divide("pairs", "nq"), 6).alias("pairs_per_query"))
+
+
+TIERS = {
+    "A": ("ties >= 5 or nonascii", "addr_empty or ties >= 10"),
+    "B": ("ties >= 3 or nonascii", "addr_empty or ties >= 8"),
+    "C": ("ties >= 5 or nonascii or best < 0.3", "addr_empty or ties >= 10"),
+    "D": ("ties >= 3 or nonascii or best < 0.3", "addr_empty or ties >= 5"),
+}
+BUDGETS = ((10, 20, 50, 0.3), (10, 15, 50, 0.3), (10, 20, 40, 0.3), (10, 25, 50, 0.3))
+
+
+def simulate_tiers(superset: DataFrame, truth: DataFrame, queries: DataFrame, tiers: dict[str, tuple[str, str]] = TIERS, budgets=BUDGETS, rel: float = 0.4) -> DataFrame:
+    """(policy, recall, pairs_per_query) for queries in three tiers (clear, ambiguous, very ambiguous by two conditions) with a
+    k each; all policies are conditional sums of one pass."""
+    by = Window.partitionBy(*QUERY)
+    rows = labelled(superset, truth).withColumn("best", F.max("bscore").over(by)).withColumn("rel", F.col("bscore") / F.col("best"))
+    rows = rows.withColumn("ties", F.count_if(F.col("rel") >= 0.9).over(by)).join(queries, list(QUERY))
+    sums = []
+    for name, (amb, very) in tiers.items():
+        for k1, k2, k3, r in budgets:
+            some, most = F.expr(amb), F.expr(very)
+            kept = (F.col("brank") < F.when(most, k3).when(some, k2).otherwise(k1)) & (F.col("rel") >= F.when(most | some, r).otherwise(rel) - 1e-6)
+            policy = F.lit(f"{name} {k1}/{k2}/{k3} r{r}")
+            sums.append(F.struct(policy.alias("policy"), F.count_if(kept & (F.col("label") == 1)).alias("hits"), F.count_if(kept).alias("pairs")))
+    got = rows.agg(F.array(*sums).alias("a")).select(F.explode("a").alias("x")).select("x.*")
+    n = truth.agg(F.count(F.lit(1)).alias("n_true")).crossJoin(queries.agg(F.count(F.lit(1)).alias("nq")))
+    return got.crossJoin(n).select("policy", F.round(F.try_divide("hits", "n_true"), 6).alias("recall"), F.round(F.try_divide("pairs", "nq"), 6).alias("pairs_per_query"))
+
+
+def histogram(rows: DataFrame, value: str, edges: list[float]) -> DataFrame:
+    """(bucket, n): counts between the edges, lower ones inclusive; -1 below the first, null values apart."""
+    bucket = F.when(F.col(value) < edges[0], -1)
+    for i, e in reversed(list(enumerate(edges))):
+        bucket = bucket.when(F.col(value) >= e, i)
+    return rows.withColumn("bucket", bucket).groupBy("bucket").agg(F.count(F.lit(1)).alias("n"))
+
+
+def coverage(rows: DataFrame, columns: tuple[str, ...]) -> DataFrame:
+    """(field, missing, mean) of columns with nulls."""
+    each = F.explode(F.array(*[F.struct(F.lit(c).alias("field"), F.col(c).alias("x")) for c in columns]))
+    return rows.select(each.alias("s")).groupBy("s.field").agg(F.round(F.avg(F.col("s.x").isNull().cast("double")), 6).alias("missing"), F.round(F.avg("s.x"), 5).alias("mean"))
+
+
+def chosen(rows: DataFrame, n: int, *key: str, seed: int = 0) -> DataFrame:
+    """``n`` rows without replacement, the same in every run: those whose hashed key is least."""
+    return rows.orderBy(F.xxhash64(F.lit(seed), *key), *key).limit(n)

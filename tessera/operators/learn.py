@@ -5,7 +5,7 @@ from __future__ import annotations
 import hashlib
 import json
 
-from pyspark.ml.classification import GBTClassifier
+from pyspark.ml.classification import GBTClassificationModel, GBTClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, Window
@@ -66,5 +66,14 @@ def out_of_fold(rows: DataFrame, folds: tuple[int, ...] = (0, 1, 2, 3, 4), param
     return scored, importance
 
 
+def kept_model(spark, path: str, make):
+    """The model saved at ``path``, trained and saved first if there is none."""
+    from ..sources.lists import exists
+
+    if not exists(spark, f"{path}/metadata/_SUCCESS"):
+        make().write().overwrite().save(path)
+    return GBTClassificationModel.load(path)
+
+
 def config_hash(config: dict) -> str:
     return hashlib.sha1(json.dumps(config, sort_keys=True).encode()).hexdigest()[:10]

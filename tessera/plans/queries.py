@@ -344,6 +344,38 @@ def policy_sim(spark, d):
     return E.simulate(candidates(spark, d, k=50, rel=0.2), truth(spark, d), query_flags(records(spark, d)), RULES)
 
 
+TIER_SQL = " UNION ALL ".join(
+    f"SELECT '{name} {k1}/{k2}/{k3} r{r}' AS policy, count(*) FILTER (WHERE kept AND hit) AS hits, count(*) FILTER (WHERE kept) AS pairs FROM (SELECT hit, brank < CASE WHEN {very} THEN {k3} WHEN {amb} THEN {k2} ELSE {k1} END AND rel >= CASE WHEN {very} OR {amb} THEN {r} ELSE 0.4 END - 1e-6 AS kept FROM s3)"
+    for name, (amb, very) in E.TIERS.items()
+    for k1, k2, k3, r in E.BUDGETS
+)
+
+
+@query(f"""WITH {Z.SUPER}, {Z.TRUTH}, s1 AS (SELECT c.*, max(bscore) OVER (PARTITION BY q_src, q_id) AS best FROM cand c),
+s2 AS (SELECT *, bscore / best AS rel, count(*) FILTER (WHERE bscore / best >= 0.9) OVER (PARTITION BY q_src, q_id) AS ties FROM s1),
+s3 AS MATERIALIZED (SELECT s2.*, nonascii, addr_norm = '' AS addr_empty, t.s1_id IS NOT NULL AS hit FROM s2 JOIN rec ON src = s2.q_src AND id = s2.q_id LEFT JOIN truth t ON t.q_src = s2.q_src AND t.q_id = s2.q_id AND t.s1_id = s2.s1_id)
+SELECT policy, round(hits / (SELECT count(*) FROM truth), 6) AS recall, round(pairs / (SELECT count(*) FROM rec WHERE src > 1), 6) AS pairs_per_query FROM ({TIER_SQL})""")
+def policy_tiers(spark, d):
+    return E.simulate_tiers(candidates(spark, d, k=50, rel=0.2), truth(spark, d), query_flags(records(spark, d)))
+
+
+RANK_EDGES = [0, 1, 2, 5, 10, 20, 50]
+
+
+@query(f"WITH {TRUES}, rk AS (SELECT sh.q_src, sh.q_id, sh.s1_id, count(pr.s1_id) AS rank FROM sh LEFT JOIN pr ON pr.q_src = sh.q_src AND pr.q_id = sh.q_id AND pr.bscore > sh.score + 1e-6 GROUP BY ALL) SELECT CASE " + " ".join(f"WHEN rank >= {e} THEN {i}" for i, e in reversed(list(enumerate(RANK_EDGES)))) + " END AS bucket, count(*) AS n FROM rk GROUP BY 1")
+def rank_buckets(spark, d):
+    _, every, _, trues = _trues(spark, d)
+    return E.histogram(E.unlimited_rank(trues, every), "rank", RANK_EDGES)
+
+
+SCORE_EDGES = [0.0, 0.1, 0.2, 0.3, 0.4, 0.5, 0.7, 0.9]
+
+
+@query(f"WITH {Z.SCORED} SELECT CASE " + " ".join(f"WHEN p >= {e} THEN {i}" for i, e in reversed(list(enumerate(SCORE_EDGES)))) + " END AS bucket, count(*) AS n FROM sc GROUP BY 1")
+def score_buckets(spark, d):
+    return E.histogram(scored(spark, d), "p", SCORE_EDGES)
+
+
 # --- pair features
 
 
@@ -381,6 +413,17 @@ def field_cosine(spark, d):
     return P.field_cosines(C.retrieve(recs, cap=CAP, k=K, rel=REL), recs)
 
 
+def _coverage_sql() -> str:
+    head, _, _ = _cosine_sql(P.COSINE_FIELDS).partition(" SELECT c.q_src, c.q_id, c.s1_id, CASE")
+    tail = _cosine_sql(P.COSINE_FIELDS)[len(head) :]
+    return f"{head}, cv AS MATERIALIZED ({tail}) " + " UNION ALL ".join(f"SELECT 'ps_{f}' AS field, round(avg(CAST(ps_{f} IS NULL AS DOUBLE)), 6) AS missing, round(avg(ps_{f}), 5) AS mean FROM cv" for f in P.COSINE_FIELDS)
+
+
+@query(_coverage_sql())
+def cosine_coverage(spark, d):
+    return E.coverage(field_cosine.__wrapped__(spark, d), tuple(f"ps_{f}" for f in P.COSINE_FIELDS))
+
+
 @query(f"WITH {Z.CANDS}, {Z.SIDES} SELECT q_src, q_id, s1_id, CAST(levenshtein(core1, core2) AS BIGINT) AS distance FROM sd")
 def levenshtein_pairs(spark, d):
     return _texts(spark, d).select(*PAIR, F.levenshtein("core1", "core2").alias("distance"))
