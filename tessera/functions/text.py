@@ -101,8 +101,7 @@ def ascii_fold(s: Column) -> Column:
         out = F.replace(out, F.lit(k), F.lit(several.pop(k)))
     lookup = F.map_from_arrays(F.array(*[F.lit(k) for k in several]), F.array(*[F.lit(v) for v in several.values()]))
     walked = F.array_join(F.transform(F.split(out, ""), lambda c: F.coalesce(F.try_element_at(lookup, c), c)), "")
-    rare = out.rlike("[" + "".join(f"\\x{{{ord(k):x}}}" for k in several) + "]")
-    return F.lower(F.when(is_ascii(s), s).otherwise(F.when(rare, walked).otherwise(out)))
+    return F.lower(F.when(is_ascii(s), s).otherwise(F.when(is_ascii(out), out).otherwise(walked)))
 
 
 def blank_nulls(s: Column) -> Column:
