@@ -58,10 +58,9 @@ def field_cosines(pairs: DataFrame, records: DataFrame, fields: tuple[str, ...]
     key = [*QUERY, "s1_id"]
     out = pairs.select(*key)
     for f in fields:
-        index, asked = weighted(records, field_tokens(f))
+        w = weighted(records, field_tokens(f))
         own = pairs.select(*key)
-        asked = asked.select(*QUERY, "country", "token", "wq")
-        shared = own.join(asked, list(QUERY)).join(index.drop("df"), ["country", "token", "s1_id"]).groupBy(*key).agg(F.sum(F.col("wq") * F.col("ws")).alias("x"))
+        shared = own.join(w.unit().drop("df"), list(QUERY)).join(w.index.drop("df"), ["country", "token", "s1_id"]).groupBy(*key).agg(F.sum(F.col("wq") * F.col("ws")).alias("x"))
         counted = records.select("src", "id", (F.size(field_tokens(f)) > 0).alias("has")).where("has")
         left = counted.where("src = 1").select(F.col("id").alias("s1_id"), F.lit(True).alias("h1"))
         right = counted.where("src > 1").select(F.col("src").alias("q_src"), F.col("id").alias("q_id"), F.lit(True).alias("h2"))

@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+from typing import NamedTuple
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import text as T
 
 QUERY = ("q_src", "q_id")
+#: Countries are few; up to so many, their sizes travel by broadcast.
+FEW_COUNTRIES = 10_000
 
 
 def token_rows(records: DataFrame, tokens: Column | str = "tokens") -> DataFrame:
@@ -16,46 +20,67 @@ def token_rows(records: DataFrame, tokens: Column | str = "tokens") -> DataFrame
     return records.select("src", "id", "country", F.explode(tokens).alias("token"))
 
 
-def inverse_frequencies(entity_tokens: DataFrame, entities: DataFrame) -> DataFrame:
-    """(country, token, df, n, idf) over the entities (source 1) of each country."""
-    n = entities.groupBy("country").agg(F.count(F.lit(1)).alias("n"))
+def few(df: DataFrame, rows: int = FEW_COUNTRIES) -> DataFrame:
+    """A broadcast of a table found to have at most so many rows; a larger one is left to be shuffled."""
+    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
+
+
+def entities_by_country(entities: DataFrame) -> DataFrame:
+    return few(entities.groupBy("country").agg(F.count(F.lit(1)).alias("n")))
+
+
+def inverse_frequencies(entity_tokens: DataFrame, n: DataFrame) -> DataFrame:
+    """(country, token, df, n, idf) over the entities (source 1) of each country; ``n``: (country, n)."""
     df = entity_tokens.groupBy("country", "token").agg(F.count(F.lit(1)).alias("df"))
     return df.join(n, "country").withColumn("idf", F.log((F.col("n") + 1) / F.col("df")))
 
 
-def weighted(records: DataFrame, tokens: Column | str = "tokens") -> tuple[DataFrame, DataFrame]:
-    """(entities' tokens, queries' tokens) with ``w``, the unit-length weight, and ``df``.
+class Weights(NamedTuple):
+    """Entities' tokens with unit-length weight ``ws``, queries' tokens with weight ``x``, and the queries' norms.
 
-    Tokens that no entity of the country has count in a query's norm with ln(n + 1). Queries of countries without entities
-    have no row.
+    A query's norm is divided out after its products are summed, so its tokens stay where the join on (country, token) has
+    them.
     """
-    entities = records.where("src = 1")
+
+    index: DataFrame  # country, token, s1_id, df, ws
+    asked: DataFrame  # country, token, q_src, q_id, df, x
+    norms: DataFrame  # q_src, q_id, norm
+
+    def unit(self) -> DataFrame:
+        """The queries' tokens with unit-length weight ``wq``."""
+        return self.asked.join(self.norms, list(QUERY)).withColumn("wq", F.col("x") / F.col("norm")).drop("x", "norm")
+
+
+def weighted(records: DataFrame, tokens: Column | str = "tokens") -> Weights:
+    """Tokens that no entity of the country has count in a query's norm with ln(n + 1). Queries of countries without entities
+    have no row."""
     rows = token_rows(records, tokens)
     own = rows.where("src = 1")
-    idf = inverse_frequencies(own, entities)
-    norm = F.sqrt(F.sum(F.col("x") * F.col("x")).over(Window.partitionBy("src", "id"))) + 1e-9
-    index = own.join(idf, ["country", "token"]).withColumn("x", F.col("idf")).withColumn("w", F.col("x") / norm)
-    n = entities.groupBy("country").agg(F.count(F.lit(1)).alias("n"))
+    n = entities_by_country(records.where("src = 1"))
+    idf = inverse_frequencies(own, n)
+    norm = F.sqrt(F.sum(F.col("idf") * F.col("idf")).over(Window.partitionBy("id"))) + 1e-9
+    index = own.join(idf, ["country", "token"]).withColumn("ws", F.col("idf") / norm)
     asked = rows.where("src in (2, 3)").join(n, "country").join(idf.drop("n"), ["country", "token"], "left")
-    asked = asked.withColumn("x", F.coalesce("idf", F.log(F.col("n") + 1.0))).withColumn("w", F.col("x") / norm)
-    index = index.select("country", "token", F.col("id").alias("s1_id"), "df", F.col("w").alias("ws"))
-    return index, asked.select("country", "token", F.col("src").alias("q_src"), F.col("id").alias("q_id"), "df", F.col("w").alias("wq"))
+    asked = asked.withColumn("x", F.coalesce("idf", F.log(F.col("n") + 1.0)))
+    asked = asked.select("country", "token", F.col("src").alias("q_src"), F.col("id").alias("q_id"), "df", "x")
+    norms = asked.groupBy(*QUERY).agg((F.sqrt(F.sum(F.col("x") * F.col("x"))) + 1e-9).alias("norm"))
+    return Weights(index.select("country", "token", F.col("id").alias("s1_id"), "df", "ws"), asked, norms)
 
 
-def scored_pairs(index: DataFrame, asked: DataFrame, cap: int, rerank: bool = False) -> DataFrame:
+def scored_pairs(w: Weights, cap: int, rerank: bool = False) -> DataFrame:
     """(q_src, q_id, s1_id, bscore): pairs that share a token of at most ``cap`` entities, with their cosine.
 
     Capped tokens count in the norms only; with ``rerank`` they count in the score of pairs that other tokens have made.
+    The products are shuffled once, by query: that serves the sums, the norms and the ranking after them.
     """
     key = [*QUERY, "s1_id"]
-    usable = index.where(F.col("df") <= cap).drop("df").join(asked.where(F.col("df") <= cap).drop("df"), ["country", "token"])
-    pairs = usable.groupBy(*key).agg(F.sum(F.col("wq") * F.col("ws")).alias("bscore"))
+    usable = w.index.where(F.col("df") <= cap).drop("df").join(w.asked.where(F.col("df") <= cap).drop("df"), ["country", "token"])
+    pairs = usable.repartition(*QUERY).groupBy(*key).agg(F.sum(F.col("x") * F.col("ws")).alias("bscore"))
     if rerank:
-        made = pairs.select(*key)
-        common = asked.where(F.col("df") > cap).drop("df").join(made, list(QUERY))
-        more = common.join(index.where(F.col("df") > cap).drop("df"), ["country", "token", "s1_id"]).groupBy(*key).agg(F.sum(F.col("wq") * F.col("ws")).alias("more"))
+        common = w.asked.where(F.col("df") > cap).drop("df").join(pairs.select(*key), list(QUERY))
+        more = common.join(w.index.where(F.col("df") > cap).drop("df"), ["country", "token", "s1_id"]).groupBy(*key).agg(F.sum(F.col("x") * F.col("ws")).alias("more"))
         pairs = pairs.join(more, key, "left").withColumn("bscore", F.col("bscore") + F.coalesce("more", F.lit(0.0))).drop("more")
-    return pairs.withColumn("bscore", F.round("bscore", 6))
+    return pairs.join(w.norms, list(QUERY)).select(*key, F.round(F.col("bscore") / F.col("norm"), 6).alias("bscore"))
 
 
 def top_k(pairs: DataFrame, k: int = 10, rel: float = 0.4) -> DataFrame:
@@ -106,8 +131,7 @@ RETRIEVERS = ("name", "skel", "addr", "num", "cng3", "cng4")
 
 def retrieve(records: DataFrame, kind: str | None = None, k: int = 10, rel: float = 0.4, cap: int = 50, rerank: bool = False) -> DataFrame:
     """(q_src, q_id, s1_id, bscore, brank) of all tokens, or of one single-field retriever."""
-    index, asked = weighted(records, "tokens" if kind is None else field_tokens(kind))
-    return top_k(scored_pairs(index, asked, cap, rerank), k, rel)
+    return top_k(scored_pairs(weighted(records, "tokens" if kind is None else field_tokens(kind)), cap, rerank), k, rel)
 
 
 def query_signals(cands: DataFrame) -> DataFrame:

@@ -162,18 +162,18 @@ def char_ngrams(spark, d):
 @query(f"WITH {Z.RECORDS}, {Z.weights()} SELECT country, token, df, n, round(idf, 6) AS idf FROM idf")
 def doc_freq_idf(spark, d):
     recs = records(spark, d)
-    found = C.inverse_frequencies(C.token_rows(recs).where("src = 1"), recs.where("src = 1"))
+    found = C.inverse_frequencies(C.token_rows(recs).where("src = 1"), C.entities_by_country(recs.where("src = 1")))
     return found.select("country", "token", "df", "n", F.round("idf", 6).alias("idf"))
 
 
 @query(f"WITH {Z.RECORDS}, {Z.weights()} SELECT q_src, q_id, token, round(wq, 6) AS w FROM qw")
 def token_norms(spark, d):
-    return C.weighted(records(spark, d))[1].select("q_src", "q_id", "token", F.round("wq", 6).alias("w"))
+    return C.weighted(records(spark, d)).unit().select("q_src", "q_id", "token", F.round("wq", 6).alias("w"))
 
 
 @query(f"WITH {Z.RECORDS}, {Z.weights()} SELECT q_src, q_id, CAST(coalesce(sum(CASE WHEN df <= {CAP} THEN df END), 0) AS BIGINT) AS cost FROM qw GROUP BY ALL")
 def query_cost(spark, d):
-    asked = C.weighted(records(spark, d))[1]
+    asked = C.weighted(records(spark, d)).asked
     return asked.groupBy(*QUERY).agg(F.coalesce(F.sum(F.when(F.col("df") <= CAP, F.col("df"))), F.lit(0)).alias("cost"))
 
 
@@ -189,7 +189,7 @@ def fold_assign(spark, d):
 
 @query(f"WITH {Z.RECORDS}, {Z.weights()}, {Z.pairs()} SELECT q_src, q_id, s1_id, bscore FROM pr")
 def block_join_scores(spark, d):
-    return C.scored_pairs(*C.weighted(records(spark, d)), CAP)
+    return C.scored_pairs(C.weighted(records(spark, d)), CAP)
 
 
 ADAPT = f"""WITH {Z.RECORDS}, {Z.weights()}, {Z.pairs()},
@@ -206,7 +206,7 @@ def query_flags(recs: DataFrame) -> DataFrame:
 @query(ADAPT)
 def block_adaptive(spark, d):
     recs = records(spark, d)
-    return C.top_adaptive(C.scored_pairs(*C.weighted(recs), CAP), query_flags(recs))
+    return C.top_adaptive(C.scored_pairs(C.weighted(recs), CAP), query_flags(recs))
 
 
 @query(f"WITH {Z.RECORDS}, {Z.weights()}, {Z.pairs(20, rerank=True)}, {Z.top()} SELECT q_src, q_id, s1_id, bscore, brank FROM cand")
@@ -291,9 +291,9 @@ sh AS (SELECT t.q_src, t.q_id, t.s1_id, count(ix.token) AS n_shared, count(*) FI
 
 def _trues(spark, d):
     recs, true = records(spark, d), truth(spark, d)
-    index, asked = C.weighted(recs)
-    every = C.scored_pairs(index, asked, 20)
-    return true, every, C.top_k(every, 3, REL), E.true_scores(true, index, asked, 20)
+    w = C.weighted(recs)
+    every = C.scored_pairs(w, 20)
+    return true, every, C.top_k(every, 3, REL), E.true_scores(true, w.index, w.unit(), 20)
 
 
 @query(f"WITH {TRUES} SELECT sh.q_src, sh.q_id, sh.s1_id, score, count(pr.s1_id) AS rank FROM sh LEFT JOIN pr ON pr.q_src = sh.q_src AND pr.q_id = sh.q_id AND pr.bscore > sh.score + 1e-6 GROUP BY ALL")

@@ -26,6 +26,15 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return docs.select(src.alias("src"), F.col("doc_id").alias("id"), F.col("lang").alias("country"), "text")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Rows of a scan with fewer partitions than the cluster has slots, dealt out to all slots; other scans as they are.
+
+    Meant for narrow rows before costly expressions: a small file is one task however many cores there are.
+    """
+    slots = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(slots) if df.rdd.getNumPartitions() < slots else df
+
+
 def raw_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(src, id, entity_id, country, name_raw, addr_raw): name and address are the first 8 words and the next 16.
 
@@ -37,6 +46,7 @@ def raw_records(spark: SparkSession, sf_dir: str) -> DataFrame:
         "src", "id", F.concat(F.lit("S"), F.col("src").cast("string"), F.lit("-"), F.col("id").cast("string")).alias("entity_id"), "country",
         F.array_join(F.slice(words, 1, 8), " ").alias("name_raw"), F.array_join(F.slice(words, 9, 16), " ").alias("addr_raw"),
     )
+    rows = spread(rows)
     first = docs.where("src = 1").groupBy("country", F.md5("text")).agg(F.min("id").alias("id")).select("id")
     own = rows.where("src = 1").join(first, "id", "left_semi").select(*rows.columns)
     return own.unionByName(rows.where("src <> 1"))
