@@ -66,6 +66,21 @@ def small_batches(spark: SparkSession) -> None:
         spark.conf.set(name, str(BATCH_ROWS))
 
 
+def give_back() -> None:
+    """Returns a Python worker's free memory to the system; workers outlive their task and idle beside the executor's heap."""
+    import ctypes
+    import gc
+
+    import pyarrow
+
+    gc.collect()
+    pyarrow.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):  # another C library
+        pass
+
+
 def written(df: DataFrame) -> DataFrame:
     """The rows as Parquet in the shared folder, read again; for wide rows, which compress well there."""
     spark = df.sparkSession

@@ -16,7 +16,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import ROW, join_unique, packed, small_batches, table, unpacked
+from .common import ROW, give_back, join_unique, packed, small_batches, table, unpacked
 from .url_filter import host_of
 
 BUCKETS = 1 << 16
@@ -117,12 +117,13 @@ def identify(docs: DataFrame, text_col: str = "text", declared_col: str | None =
     models = spark.sparkContext.broadcast(model)  # 65,536 floats a language, at most MAX_LANGUAGES of them
 
     @F.pandas_udf("array<double>")
-    def score(texts: pd.Series) -> pd.Series:
-        out: list[np.ndarray] = []
-        texts = list(texts)
-        for i in range(0, len(texts), 256):
-            out += list(text_scores(texts[i : i + 256], models.value))
-        return pd.Series(out)
+    def score(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for texts in map(list, batches):
+            out: list[np.ndarray] = []
+            for i in range(0, len(texts), 256):
+                out += list(text_scores(texts[i : i + 256], models.value))
+            yield pd.Series(out)
+        give_back()
 
     letters = F.col("__text").rlike(r"\p{L}")
     scored = rows.withColumn("__s", score("__text"))

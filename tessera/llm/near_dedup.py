@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from xxhash import xxh3_64_intdigest
 
-from .common import ROW, checkpoint, join_unique, packed, settled, small_batches, table, unpacked
+from .common import ROW, checkpoint, give_back, join_unique, packed, settled, small_batches, table, unpacked
 
 WORDS, THRESHOLD = 5, 0.8
 BANDS, ROWS_A_BAND = 10, 3
@@ -86,6 +86,7 @@ def frequencies(texts: DataFrame) -> tuple[np.ndarray, int]:
                 yield pd.DataFrame({"chunk": [k // CHUNK], "deal": [int(docs + at[0]) % 8], "at": [at.astype("<u2").tobytes()], "n": [part[at].astype("<u4").tobytes()]})
         if docs:
             yield pd.DataFrame({"chunk": [-1], "deal": [docs % 8], "at": [b"\0\0"], "n": [np.array([docs], "<u4").tobytes()]})
+        give_back()
 
     def merge(part: pd.DataFrame) -> pd.DataFrame:
         total = np.zeros(CHUNK, np.int64)
@@ -180,6 +181,7 @@ def sketched(texts: DataFrame, weights) -> DataFrame:
                 packs = [(h >> np.uint64(32)).astype("<u4").tobytes() for h in sets]
                 cls = [blake2b(p, digest_size=16).digest() if p else b"empty %d" % r for p, r in zip(packs, part["rid"], strict=True)]
                 yield pd.DataFrame({"rid": part["rid"].values, "id": part["id"].values, "key": part["key"].values, "cls": cls, "w": total, "sig": sig, "bands": bands, "set": packs})
+        give_back()
 
     return texts.mapInPandas(work, "rid long, id string, key long, cls binary, w double, sig binary, bands array<long>, set binary")
 
@@ -297,6 +299,7 @@ def verified(pairs: DataFrame, sets: DataFrame, weights, threshold: float) -> Da
                 shared = np.bincount(pair[both].astype(np.int64), weights=weigh[(token[both] >> np.uint64(12)).astype(np.int64)], minlength=len(part))
                 good = shared >= threshold * (part["w_a"].values + part["w_b"].values - shared) * (1 - 1e-6)
                 yield part.loc[good, ["a", "b"]]
+        give_back()
 
     of = lambda side: sets.select(F.col("rid").alias(side), F.col("w").alias(f"w_{side}"), F.col("set").alias(f"set_{side}"))
     return pairs.join(of("b"), "b").join(of("a"), "a").select("a", "b", "w_a", "w_b", "set_a", "set_b").mapInPandas(work, "a long, b long")

@@ -8,6 +8,7 @@ windows; a document that crosses a window's edge leaves a piece on either side.
 
 from __future__ import annotations
 
+import json
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
@@ -17,7 +18,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import checkpoint, small_batches, table
+from .common import checkpoint, give_back, small_batches, table
 
 VOCABULARY = "byte_bpe_50k"
 PIECES = "doc_id string, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
@@ -36,15 +37,19 @@ def encoder(name: str = VOCABULARY):
     import tiktoken
     from tokenizers import Tokenizer
 
-    plain = Tokenizer.from_file(public_tokenizers.path(f"{name}.json"))
-    special = [t.content for t in plain.get_added_tokens_decoder().values()]
+    with open(public_tokenizers.path(f"{name}.json"), encoding="utf-8") as f:
+        special = [t["content"] for t in json.load(f)["added_tokens"]]
     with open(public_tokenizers.path(f"{name}.tiktoken"), "rb") as f:
         ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
     fast = tiktoken.Encoding(name, pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
 
+    @lru_cache(maxsize=1)
+    def plain() -> Tokenizer:  # rarely needed, and large
+        return Tokenizer.from_file(public_tokenizers.path(f"{name}.json"))
+
     def encode(text: str) -> list[int]:
         if any(s in text for s in special):
-            return plain.encode(text, add_special_tokens=False).ids
+            return plain().encode(text, add_special_tokens=False).ids
         return fast.encode_ordinary(text)
 
     return encode
@@ -62,6 +67,7 @@ def tokenised(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n
         for b in batches:
             ids = [np.asarray([*encode(t or ""), end], dtype="<u2") for t in b["text"]]
             yield pd.DataFrame({"doc_id": b["doc_id"], "ids": [x.tobytes() for x in ids], "n": [len(x) for x in ids]})
+        give_back()
 
     rows = docs.select(docs[f"`{id_col}`"].cast("string").alias("doc_id"), F.coalesce(docs[f"`{text_col}`"], F.lit("")).alias("text"))
     return rows.mapInPandas(work, "doc_id string, ids binary, n long")
@@ -98,6 +104,7 @@ def pack(docs: DataFrame, width: int = 1024, id_col: str = "doc_id", text_col: s
                     start, at = start + length, at + length
             out = pd.DataFrame(rows, columns=[c.split()[0] for c in PIECES.split(", ")])
             yield out.assign(ids=pieces) if with_ids else out
+        give_back()
 
     pieces = stream.select("doc_id", "ids", "part").mapInPandas(cut, PIECES + (", ids binary" if with_ids else ""))
     return pieces.withColumn("doc_id", F.col("doc_id").cast("long"))
