@@ -22,13 +22,13 @@ def test_lines_against_sql(spark, same):
 def test_lines(spark, odd_docs, no_docs):
     rows = [(i, "h" if i % 2 else None, f"menu\nown {i}\n\nmenu\nrare") for i in range(10)] + [(99, "small", "menu\nx"), (98, None, None)]
     df = spark.createDataFrame(rows, "id long, host string, text string")
-    got = {r["id"]: r for r in line_dedup.line_dedup(df, F.col("host"), F.col("text"), keep=("id",)).collect()}
+    got = {r["id"]: r for r in line_dedup.line_dedup(df, F.col("host"), line_dedup.lines_of_text(F.col("text")), keep=("id",)).collect()}
     assert got[1]["text"] == "own 1" and (got[1]["n_lines"], got[1]["n_dropped"]) == (4, 3)
     assert got[2]["host"] == "" and got[2]["text"] == "own 2"
     assert got[99]["text"] == "menu\nx" and got[98]["text"] == ""
-    whole = line_dedup.line_dedup(odd_docs, F.col("source"), F.col("text"))
+    whole = line_dedup.line_dedup(odd_docs, F.col("source"), line_dedup.lines_of_text(F.col("text")))
     assert whole.count() == odd_docs.count() and whole.columns.count("host") == 1
-    assert line_dedup.line_dedup(no_docs, F.col("source"), F.col("text")).count() == 0
+    assert line_dedup.line_dedup(no_docs, F.col("source"), line_dedup.lines_of_text(F.col("text"))).count() == 0
     plan = line_dedup.op1_line_dedup(spark, SMALL)._jdf.queryExecution().executedPlan().toString()
     assert not any(x in plan for x in ("Python", "Pandas", "Arrow"))
 
