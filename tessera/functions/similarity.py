@@ -12,7 +12,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
-from .text import tokens_of
+from .text import DIGRAPHS, LETTERS_FROM, LETTERS_TO, tokens_of
 
 
 def common_length(a: str, b: str) -> int:
@@ -53,12 +53,8 @@ def token_set_ratio(a: str, b: str) -> float:
     return max(ratio(p, q), *((ratio(both, p), ratio(both, q)) if both else (0.0,)))
 
 
-def partial_ratio(a: str, b: str) -> float:
-    """Best ratio of the shorter string with any stretch of its length, or shorter at the ends, of the longer."""
-    if len(a) > len(b):
-        a, b = b, a
-    if not a:
-        return 0.0 if b else 100.0
+def _best_window(a: str, b: str) -> float:
+    """Best ratio of ``a`` with any stretch of its length, or shorter at the ends, of ``b``, which is no shorter."""
     m, best = len(a), 0.0
     for i in range(1 - m, len(b)):
         window = b[max(0, i) : i + m]
@@ -66,7 +62,17 @@ def partial_ratio(a: str, b: str) -> float:
             best = max(best, ratio(a, window))
             if best == 100.0:
                 break
-    return max(best, ratio(b, a) if len(a) == len(b) else 0.0)
+    return best
+
+
+def partial_ratio(a: str, b: str) -> float:
+    """The shorter string against windows of the longer; of equally long ones the better way round."""
+    if len(a) > len(b):
+        a, b = b, a
+    if not a:
+        return 0.0 if b else 100.0
+    best = _best_window(a, b)
+    return max(best, _best_window(b, a)) if len(a) == len(b) and best < 100.0 else best
 
 
 def jaro_winkler(a: str, b: str, scale: float = 0.1) -> float:
@@ -113,9 +119,14 @@ SQL_FUNCTIONS = {"indel_ratio": indel_ratio, "token_set_ratio": token_set, "toke
 
 
 def register(spark) -> None:
-    """The similarities by name for SQL text."""
+    """The similarities and the phonetic skeleton by name for SQL text; the latter is an SQL function, without Python."""
     for name, f in SQL_FUNCTIONS.items():
         spark.udf.register(name, f)
+    s = "t"
+    for a, b in DIGRAPHS:
+        s = f"replace({s}, '{a}', '{b}')"
+    s = f"regexp_replace(translate(replace({s}, 'x', 'ks'), '{LETTERS_FROM}', '{LETTERS_TO}'), r'(.)\\1+', r'$1')"
+    spark.sql(f"CREATE OR REPLACE TEMPORARY FUNCTION phonetic_skeleton(t STRING) RETURNS STRING RETURN CASE WHEN t RLIKE r'^\\d+$' THEN '' ELSE {s} END")
 
 
 def jaccard(a: Column, b: Column) -> Column:

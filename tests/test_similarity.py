@@ -66,4 +66,5 @@ def test_sets(spark):
 
 def test_sql_names(spark):
     S.register(spark)
-    assert spark.sql("SELECT indel_ratio('ab', 'ab') AS r").first()["r"] == 100
+    got = spark.sql("SELECT indel_ratio('ab', 'ab') AS r, phonetic_skeleton('marketimg') AS k, phonetic_skeleton('12') AS n").first()
+    assert (got["r"], got["k"], got["n"]) == (100, "nrktng", "")
