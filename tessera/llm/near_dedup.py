@@ -31,7 +31,7 @@ WORDS, THRESHOLD = 5, 0.8
 BANDS, ROWS_A_BAND = 10, 3
 SAMPLES = BANDS * ROWS_A_BAND
 #: Slots of the document-frequency table, and how they are dealt out for summing.
-SLOTS, CHUNK = 1 << 20, 1 << 14
+SLOTS, CHUNK, DEALS = 1 << 20, 1 << 14, 64
 #: Weight of a shingle: 1 + DAMP * idf, with idf scaled to 0..1. With the whole idf a group of thousands of copies would make
 #: its own shingles so light that one changed word outweighed a paragraph; so the idf is damped.
 DAMP = 0.25
@@ -83,23 +83,36 @@ def frequencies(texts: DataFrame) -> tuple[np.ndarray, int]:
             part = total[k : k + CHUNK]
             at = np.flatnonzero(part)
             if len(at):
-                yield pd.DataFrame({"chunk": [k // CHUNK], "deal": [int(docs + at[0]) % 8], "at": [at.astype("<u2").tobytes()], "n": [part[at].astype("<u4").tobytes()]})
+                yield pd.DataFrame({"chunk": [k // CHUNK], "deal": [int(docs + at[0]) % DEALS], "at": [at.astype("<u2").tobytes()], "n": [part[at].astype("<u4").tobytes()]})
         if docs:
-            yield pd.DataFrame({"chunk": [-1], "deal": [docs % 8], "at": [b"\0\0"], "n": [np.array([docs], "<u4").tobytes()]})
+            yield pd.DataFrame({"chunk": [-1], "deal": [docs % DEALS], "at": [b"\0\0"], "n": [np.array([docs], "<u4").tobytes()]})
         give_back()
 
-    def merge(part: pd.DataFrame) -> pd.DataFrame:
-        total = np.zeros(CHUNK, np.int64)
-        for at, n in zip(part["at"], part["n"], strict=True):  # 4 bytes a count from a task, 8 once summed
-            total[np.frombuffer(at, "<u2")] += np.frombuffer(n, "<u4" if 2 * len(at) == len(n) else "<i8")
-        at = np.flatnonzero(total)
-        return pd.DataFrame({"chunk": [int(part["chunk"].iloc[0])], "deal": [0], "at": [at.astype("<u2").tobytes()], "n": [total[at].astype("<i8").tobytes()]})
+    def merge(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        """Sums the rows of each chunk and deal as they stream by, one sum in memory at a time."""
+        total, key = np.zeros(CHUNK, np.int64), None
+
+        def done() -> pd.DataFrame:
+            at = np.flatnonzero(total)
+            return pd.DataFrame({"chunk": [key[0]], "deal": [0], "at": [at.astype("<u2").tobytes()], "n": [total[at].astype("<i8").tobytes()]})
+
+        for b in batches:
+            for chunk, deal, at, n in zip(b["chunk"], b["deal"], b["at"], b["n"], strict=True):
+                if key != (chunk, deal):
+                    if key is not None:
+                        yield done()
+                    key = (chunk, deal)
+                    total[:] = 0
+                total[np.frombuffer(at, "<u2")] += np.frombuffer(n, "<u4" if 2 * len(at) == len(n) else "<i8")  # 4 bytes a count from a task, 8 once summed
+        if key is not None:
+            yield done()
 
     schema = "chunk int, deal int, at binary, n binary"
     parts = texts.select("text").mapInPandas(count, schema)
-    parts = parts.groupBy("chunk", "deal").applyInPandas(merge, schema).groupBy("chunk").applyInPandas(merge, schema)
+    for by in (("chunk", "deal"), ("chunk",)):
+        parts = parts.repartition(*by).sortWithinPartitions(*by).mapInPandas(merge, schema)
     total, docs = np.zeros(SLOTS, np.int64), 0
-    for r in parts.toLocalIterator():
+    for r in parts.collect():  # a row a chunk: at most SLOTS * 10 bytes
         n = np.frombuffer(r["n"], "<i8")
         if r["chunk"] < 0:
             docs = int(n.sum())
