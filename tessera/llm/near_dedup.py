@@ -9,7 +9,9 @@
    others), and the hubs of the blocks meet again in blocks, until one block is left.
 4. Candidate pairs are verified by exact weighted Jaccard similarity on the whole sets.
 5. Components of the verified links come from label propagation with pointer jumping. Members of large buckets that are still
-   outside their bucket's main component are then compared with every block of that bucket, verified and linked.
+   outside their bucket's main component are then compared with every block of that bucket, verified and linked: first with
+   their closest in each block, and those still outside then with all members of other components, so that no pair of a
+   bucket that may reach the threshold is left unverified across components.
 
 Nothing that grows with the documents is collected: the driver sees the slot table (fixed size) and counts.
 """
@@ -239,8 +241,8 @@ def small_pairs(rows: DataFrame, threshold: float) -> DataFrame:
     return rows.repartition("key").sortWithinPartitions("key").select("key", "rid", "w", "sig").mapInPandas(work, "a long, b long")
 
 
-def closest_in_block(b: pd.DataFrame, other: pd.DataFrame, most: int, hubs: int, threshold: float) -> pd.DataFrame:
-    """Of each row of ``b`` the ``most`` closest rows of ``other`` and the closest of its first ``hubs``, if they may reach the threshold."""
+def closest_in_block(b: pd.DataFrame, other: pd.DataFrame, most: int | None, hubs: int, threshold: float) -> pd.DataFrame:
+    """Of each row of ``b`` the ``most`` closest rows of ``other`` (None: all) and the closest of its first ``hubs``, if they may reach the threshold."""
     x, y = (np.frombuffer(b"".join(t["sig"]), "<u2").reshape(-1, SAMPLES) for t in (b, other))
     equal = np.zeros((len(x), len(y)), np.int16)
     for k in range(SAMPLES):
@@ -250,15 +252,19 @@ def closest_in_block(b: pd.DataFrame, other: pd.DataFrame, most: int, hubs: int,
     if "comp" in b.columns:
         bad |= b["comp"].values[:, None] == other["comp"].values[None, :]
     equal[bad] = 0
-    k = min(most, len(y))
-    picks = [np.argpartition(-equal, k - 1, axis=1)[:, :k]]
-    if hubs:
-        picks.append(equal[:, :hubs].argmax(axis=1)[:, None])
-    cols = np.concatenate(picks, axis=1)
-    rows = np.repeat(np.arange(len(x)), cols.shape[1])
-    cols = cols.ravel()
-    good = equal[rows, cols] > 0
-    i, j = b["rid"].values[rows[good]], other["rid"].values[cols[good]]
+    if most is None:
+        rows, cols = np.nonzero(equal)
+    else:
+        k = min(most, len(y))
+        picks = [np.argpartition(-equal, k - 1, axis=1)[:, :k]]
+        if hubs:
+            picks.append(equal[:, :hubs].argmax(axis=1)[:, None])
+        cols = np.concatenate(picks, axis=1)
+        rows = np.repeat(np.arange(len(x)), cols.shape[1])
+        cols = cols.ravel()
+        good = equal[rows, cols] > 0
+        rows, cols = rows[good], cols[good]
+    i, j = b["rid"].values[rows], other["rid"].values[cols]
     return pd.DataFrame({"a": np.minimum(i, j), "b": np.maximum(i, j)}).drop_duplicates()
 
 
@@ -344,9 +350,9 @@ def components(edges: DataFrame, labels: DataFrame | None = None) -> DataFrame:
             return at
 
 
-def outsiders_pairs(rows: DataFrame, labels: DataFrame, threshold: float) -> DataFrame:
-    """Candidate pairs across components in large buckets: each member outside its bucket's main component with its closest
-    members of other components in every block of the bucket."""
+def outsiders_pairs(rows: DataFrame, labels: DataFrame, threshold: float, most: int | None = None) -> DataFrame:
+    """Candidate pairs across components in large buckets: each member outside its bucket's main component with the ``most``
+    closest members of other components in every block of the bucket, or with all of them that may reach the threshold."""
     own = rows.join(labels, "rid", "left").withColumn("comp", F.coalesce("comp", "rid"))
     own = own.withColumn("block", F.pmod(F.xxhash64("rid"), F.ceil(F.col("m") / BLOCK).cast("long")))
     sizes = own.groupBy("key", "comp").count()
@@ -365,7 +371,7 @@ def outsiders_pairs(rows: DataFrame, labels: DataFrame, threshold: float) -> Dat
             for _, b in many.groupby(["key", "block", "deal"], sort=False):
                 x, y = b[b["side"] == 0], b[b["side"] == 1]
                 if len(x) and len(y):
-                    yield closest_in_block(x, y, 2 * CLOSEST, 0, threshold)
+                    yield closest_in_block(x, y, most, 0, threshold)
 
     return rows.repartition("key", "block", "deal").sortWithinPartitions("key", "block", "deal").mapInPandas(work, "a long, b long")
 
@@ -405,10 +411,12 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     edges, _ = settled(verified(pairs, sets, weights, threshold))
     labels = components(edges)
     if in_large:
-        more, _ = settled(outsiders_pairs(large, labels, threshold).distinct().join(pairs, ["a", "b"], "left_anti"))
-        more, found = settled(verified(more, sets, weights, threshold))
-        if found:
-            labels = components(more, labels)
+        for most in (2 * CLOSEST, None):  # the closest first, so that few texts are left to be compared with all
+            more, _ = settled(outsiders_pairs(large, labels, threshold, most).distinct().join(pairs, ["a", "b"], "left_anti"))
+            links, found = settled(verified(more, sets, weights, threshold))
+            if found:
+                labels = components(links, labels)
+            pairs = pairs.union(more)
 
     at = groups.select("cls", "rid", "best", "copies").join(labels, "rid", "left").withColumn("comp", F.coalesce("comp", "rid"))
     heads = at.groupBy("comp").agg(F.min("best").alias("head"), F.sum("copies").alias("class_size"), F.count(F.lit(1)).alias("texts"))

@@ -79,6 +79,20 @@ def test_large_group_of_near_copies(spark):
     assert check(spark.createDataFrame(rows, "doc_id long, text string")) > 2000
 
 
+def test_outsiders_meet_every_member(spark):
+    """Many members look closer to the outsider than the one that may be its only partner; all are candidates."""
+    g = np.random.default_rng(5)
+    sig = g.integers(0, 1 << 16, N.SAMPLES).astype("<u2")
+    far = lambda n: np.where(np.arange(N.SAMPLES) < n, sig, sig + 1).astype("<u2").tobytes()
+    rows = [(7, i, 100.0, far(25), 600, 600) for i in range(599)] + [(7, 599, 100.0, far(18), 600, 600), (7, 1000, 100.0, sig.tobytes(), 600, 600)]
+    rows += [(7, 2000, 70.0, far(30), 600, 600), (7, 2001, 100.0, far(10), 600, 600)]
+    rows = spark.createDataFrame([(k, r, w, bytes(x), a, m) for k, r, w, x, a, m in rows], "key long, rid long, w double, sig binary, mass long, m long")
+    labels = spark.createDataFrame([(i, 0) for i in range(600)], "rid long, comp long")
+    got = {(r["a"], r["b"]) for r in N.outsiders_pairs(rows, labels, N.THRESHOLD).collect()}
+    assert {a for a, b in got if b == 1000} == set(range(600))
+    assert not [p for p in got if 2000 in p]
+
+
 def test_shared_passages_are_no_copies(spark):
     passage = words(4, 60)
     rows = [(i, f"{words(100 + i, 60)} {passage} {words(900 + i, 60)}") for i in range(80)]
