@@ -1,10 +1,10 @@
 """Main-text extraction from HTML by line-block distribution.
 
-Markup is stripped to text lines, one for each block-level stretch. A line weighs its text length; text in links, and lines
-in page furniture (menus, headers, footers, side bars, notices, adverts, forms, comments: by element, role, class or id),
-weigh nothing. Sums of these weights over a sliding window of lines surge where the article begins and dive where it ends;
-the lines between the first surge and the last dive stay, but for furniture. In a page that marks its article or main part,
-the lines outside it weigh nothing, and the window needs no minimum.
+Markup is stripped to text lines, one for each block-level stretch; page furniture (menus, headers, footers, side bars,
+notices, adverts, forms, comments: by element, role, class or id) makes none. A line weighs its text length; text in links
+weighs nothing. Sums of these weights over a sliding window of lines surge where the article begins and dive where it ends;
+all lines between the first surge and the last dive stay, and so do the lines next to them in the same container. In a page
+that marks its article or main part, the lines of that part stay.
 """
 
 from __future__ import annotations
@@ -42,6 +42,8 @@ ATTRIBUTE = re.compile(r"([^\s=/\"'>]+)\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+)")
 #: More such words, for outside an article's own elements.
 OUTER = re.compile(r"(?:^|[\s_-])(?:header|foot|aside|top-bar|bottom)(?:$|[\s_-]|\d)", re.I)
 SPACE = re.compile(r"\s+")
+#: Elements whose lines belong together (fixed values); headings, paragraphs and lists belong to the one around them.
+CONTAINERS = frozenset("article body center div main section table td th".split())
 #: What an opening element closes when it is left open (fixed values of the HTML standard).
 CLOSES = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th"), "option": ("option",)}
 
@@ -62,15 +64,16 @@ def is_furniture(name: str, attributes: str, inside_main: bool) -> bool:
     return bool(WORDS.search(names) or not inside_main and OUTER.search(names))
 
 
-def lines_of(html: str) -> tuple[list[str], np.ndarray, np.ndarray]:
-    """(text of each line, characters outside links or 0 for furniture, whether in a marked article or main part)."""
+def lines_of(html: str) -> tuple[list[str], np.ndarray, np.ndarray, list[int]]:
+    """(text of each line outside furniture, its characters outside links, whether in a marked article or main part, its container)."""
     texts: list[str] = []
     weights: list[int] = []
     marked: list[bool] = []
+    within: list[int] = []
     part: list[str] = []
     plain = 0
-    stack: list[tuple[str, bool, bool, bool]] = []  # name, furniture, main, link of it or any parent
-    dropped, main, link = False, False, False
+    stack: list[tuple[str, bool, bool, bool, int]] = []  # name, furniture, main, link of it or any parent, container
+    dropped, main, link, container = False, False, False, 0
 
     def end_line() -> None:
         nonlocal plain
@@ -78,15 +81,16 @@ def lines_of(html: str) -> tuple[list[str], np.ndarray, np.ndarray]:
             line = SPACE.sub(" ", unescape("".join(part))).strip()
             if line:
                 texts.append(line)
-                weights.append(0 if dropped else min(plain, len(line)))
+                weights.append(min(plain, len(line)))
                 marked.append(main)
+                within.append(container)
             part.clear()
             plain = 0
 
     def pop_to(k: int) -> None:
-        nonlocal dropped, main, link
+        nonlocal dropped, main, link, container
         del stack[k:]
-        _, dropped, main, link = stack[-1] if stack else ("", False, False, False)
+        _, dropped, main, link, container = stack[-1] if stack else ("", False, False, False, 0)
 
     at, n = 0, len(html)
     while at < n:
@@ -132,10 +136,10 @@ def lines_of(html: str) -> tuple[list[str], np.ndarray, np.ndarray]:
         if name in VOID or m.group(3).endswith("/") and name not in BLOCK:
             continue
         out = dropped or name in RAW or is_furniture(name, m.group(3), main)
-        stack.append((name, out, main or name in ("article", "main"), link or name == "a"))
-        _, dropped, main, link = stack[-1]
+        stack.append((name, out, main or name in ("article", "main"), link or name == "a", at if name in CONTAINERS else container))
+        _, dropped, main, link, container = stack[-1]
     end_line()
-    return texts, np.array(weights, np.int64), np.array(marked, bool)
+    return texts, np.array(weights, np.int64), np.array(marked, bool), within
 
 
 def surge_to_dive(weights: np.ndarray, window: int, least: int) -> tuple[int, int]:
@@ -162,15 +166,17 @@ def main_text(html: str | None, window: int = 3, least: int = 60) -> str:
     """
     if not html:
         return ""
-    texts, weights, marked = lines_of(html)
+    texts, weights, marked, within = lines_of(html)
     if marked.any():
-        weights = np.where(marked, np.maximum(weights, (weights > 0) | marked), 0)
-        first, last = surge_to_dive(weights, window, 1)
-    else:
-        first, last = surge_to_dive(weights, window, least)
-        if first == last:
-            first, last = surge_to_dive(weights, window, 1)
-    return "\n".join(t for t, w in zip(texts[first:last], weights[first:last], strict=True) if w > 0)
+        return "\n".join(t for t, m in zip(texts, marked, strict=True) if m)
+    first, last = surge_to_dive(weights, window, least)
+    if first == last:
+        return "\n".join(texts)
+    while first and within[first - 1] == within[first]:
+        first -= 1
+    while last < len(texts) and within[last] == within[last - 1]:
+        last += 1
+    return "\n".join(texts[first:last])
 
 
 def extract_text(pages: DataFrame, html_col: str = "html", keep: tuple[str, ...] | None = None, window: int = 3, least: int = 60) -> DataFrame:

@@ -176,6 +176,26 @@ def test_main_text(html, want):
     assert html_text.main_text(html) == want
 
 
+LONG = "A paragraph that is long enough to be the middle of an article by itself, whatever stands around it."
+
+
+@pytest.mark.parametrize(
+    "inner",
+    [
+        f"<p>{LONG}<h2><a href=x>Heading</a></h2><ul><li><a href=y>item</a><li><a href=z>other</a></ul><p><a href=s>source</a><p>{LONG}",
+        f"<h1>Title</h1><p>By me<p>Today<p>At noon<p>In town<p>{LONG}<p>Yes.<p>So it is.<p>The end.<p>Bye.",
+        "<p><a href=x>Only a link</a>",
+    ],
+)
+def test_no_line_of_an_article_is_lost(inner):
+    """Linked lines in the middle and short lines at the ends stay, in a page that marks no article; lines of other containers go."""
+    want = [x.strip() for x in re.sub(r"<[^>]*>", "\n", inner).split("\n") if x.strip()]
+    assert html_text.main_text(PAGE % inner).split("\n") == want
+    if LONG in inner:
+        got = html_text.main_text(PAGE.replace("<aside>", "<div>Elsewhere</div><div>Else</div><div>More</div><aside>") % inner).split("\n")
+        assert got[: len(want)] == want and "More" not in got
+
+
 def test_pages(spark):
     got = html_text.op8_html_extraction(spark, SMALL).collect()
     pages = {r["page_id"]: r for r in spark.read.parquet(f"{SMALL}/pages.parquet").collect()}
