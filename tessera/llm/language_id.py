@@ -22,8 +22,8 @@ from .url_filter import host_of
 BUCKETS = 1 << 16
 #: Most rows a declared language that the trigram models are fitted on, and most languages modelled.
 FIT_ROWS, MAX_LANGUAGES = 1500, 200
-#: A tongue needs this share of the declared rows to be modelled.
-LEAST_SHARE = 0.001
+#: A tongue needs so many declared rows to be modelled, in a corpus of any size. Rows that declare another one stay unjudged.
+LEAST_ROWS = 5
 #: Pseudo-counts that pull a host to its suffix, a suffix to the corpus, and a reliability table to uniform.
 PULL_HOST, PULL_SUFFIX, PULL_TABLE = 20.0, 50.0, 1.0
 #: Trigrams overlap and are far from independent: their log-likelihood is scaled down so.
@@ -65,9 +65,8 @@ def fit_models(rows: DataFrame, declared: str, text: str, fit_rows: int = FIT_RO
     The sample is the rows of least hash, so it is the same in every run; counts are summed on the executors.
     """
     known = rows.where(F.col(declared).isNotNull() & (F.trim(declared) != "")).withColumn("__h", F.xxhash64(text))
-    n = known.groupBy(declared).count().orderBy(F.desc("count"), declared).limit(MAX_LANGUAGES).collect()
-    whole = sum(r["count"] for r in n)
-    names = sorted(r[declared] for r in n if r["count"] >= LEAST_SHARE * whole)
+    n = known.groupBy(declared).count().where(F.col("count") >= LEAST_ROWS).orderBy(F.desc("count"), declared).limit(MAX_LANGUAGES).collect()
+    names = sorted(r[declared] for r in n)
     if not names:
         return ["und"], np.zeros((BUCKETS, 1), np.float32)
     # Of each language, a share of rows by hash that holds about twice fit_rows; then the least hashes exactly.
@@ -103,7 +102,7 @@ def identify(docs: DataFrame, text_col: str = "text", declared_col: str | None =
 
     ``host_col`` names the host, or ``url_col`` an address to take it from. A row is accepted when its text holds a letter,
     its best language's posterior is at least ``least``, and ``accept`` (default: all modelled) has that language. A text
-    without any letter is ``und`` with confidence 0. Missing declarations, hosts and suffixes (null or empty) are no
+    without any letter is ``und`` with confidence 0, and so is one that declares a language without a model. Missing declarations, hosts and suffixes (null or empty) are no
     evidence. Input columns named like an output are replaced; repeated rows are judged alike; an empty table gives an
     empty result.
     """
@@ -125,7 +124,7 @@ def identify(docs: DataFrame, text_col: str = "text", declared_col: str | None =
             yield pd.Series(out)
         give_back()
 
-    letters = F.col("__text").rlike(r"\p{L}")
+    letters = F.col("__text").rlike(r"\p{L}") & F.col("__declared").isin(["", *names])  # and can be judged
     scored = rows.withColumn("__s", score("__text"))
     best = F.array_position("__s", F.array_max("__s")).cast("int") - 1
     said = scored.where(letters).groupBy("__host", "__declared", best.alias("l")).count()

@@ -143,6 +143,14 @@ def test_language(spark, odd_docs, no_docs):
     assert language_id.identify(pages, declared_col="html_lang", url_col="url").where("(detected = 'aa') <> (page_id % 2 = 0)").count() == 0
 
 
+def test_rare_languages(spark):
+    """A language is modelled however many rows others have; one with too few rows is not taken for a frequent one."""
+    rows = [(i, words(i, 8, "abcde"), "aa", "s") for i in range(6000)] + [(7000 + i, words(i, 30, "fghij"), "bb", "s") for i in range(5)] + [(8000, words(1, 30, "klmno"), "cc", "s")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    got = {r["doc_id"]: (r["detected"], r["accepted"]) for r in language_id.identify(df, host_col="source").where("doc_id >= 7000").collect()}
+    assert got == {**{7000 + i: ("bb", True) for i in range(5)}, 8000: ("und", False)}
+
+
 def test_trigram_scores_against_loop():
     g = np.random.default_rng(0)
     model = g.normal(size=(language_id.BUCKETS, 3)).astype(np.float32)
