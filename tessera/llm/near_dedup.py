@@ -1,17 +1,17 @@
 """Near-duplicate detection: improved consistent weighted sampling over TF-IDF word shingles, banded and verified.
 
-1. Document frequencies of five-word shingles are counted over all documents in a table of hashed slots of fixed size.
+1. Document frequencies of five-word shingles are counted over all documents in a table of hashed slots of fixed size. What
+   other shingles add to a slot is a constant share of the documents at any corpus size; it is subtracted, and a shingle in
+   less than ``RARE`` of the documents has the full inverse frequency, so that a pair weighs alike in small and large corpora.
 2. Each document becomes a weighted set (term count times a damped inverse document frequency) and 30 consistent samples
    of it (Ioffe's scheme, its random triples read from a table). Documents with equal sets collapse into one class.
 3. Ten bands of three samples key the buckets. In a small bucket all pairs are weighed by the share of equal samples and an
-   upper bound from the total weights; only pairs that can reach the threshold go on. A large bucket is dealt out into
-   blocks: each member goes on with its closest partners in its block and with the block's hubs (the members that meet most
-   others), and the hubs of the blocks meet again in blocks, until one block is left.
-4. Candidate pairs are verified by exact weighted Jaccard similarity on the whole sets.
-5. Components of the verified links come from label propagation with pointer jumping. Members of large buckets that are still
-   outside their bucket's main component are then compared with every block of that bucket, verified and linked: first with
-   their closest in each block, and those still outside then with all members of other components, so that no pair of a
-   bucket that may reach the threshold is left unverified across components.
+   upper bound from the total weights; pairs that can reach the threshold are verified by exact weighted Jaccard similarity.
+4. Each member of large buckets is dealt, by the hash of its set, into one block of its largest bucket and one of its least.
+   Blocks are compared exactly, all sets with all by matrix products, and so are a few hubs of each block again, until one block is left.
+5. Components of the links come from label propagation with pointer jumping. Members outside their bucket's main component
+   are then compared exactly with every member of their large buckets that is in another component, block by block, and
+   linked: no pair of a large bucket is left uncompared across components, and no block depends on how rows were dealt.
 
 Nothing that grows with the documents is collected: the driver sees the slot table (fixed size) and counts.
 """
@@ -34,11 +34,15 @@ BANDS, ROWS_A_BAND = 10, 3
 SAMPLES = BANDS * ROWS_A_BAND
 #: Slots of the document-frequency table, and how they are dealt out for summing.
 SLOTS, CHUNK, DEALS = 1 << 20, 1 << 14, 64
-#: Weight of a shingle: 1 + DAMP * idf, with idf scaled to 0..1. With the whole idf a group of thousands of copies would make
-#: its own shingles so light that one changed word outweighed a paragraph; so the idf is damped.
-DAMP = 0.25
-#: Buckets up to this size have all their pairs weighed; larger ones are dealt into blocks.
-SMALL, BLOCK, HUBS, CLOSEST = 64, 256, 4, 3
+#: Weight of a shingle: 1 + DAMP * idf, with idf scaled to 0..1: 0 for a shingle of every document, 1 from a share of RARE of
+#: them down. With the whole idf a group of thousands of copies would make its own shingles so light that one changed word
+#: outweighed a paragraph; so the idf is damped.
+DAMP, RARE = 0.25, 1 / 512
+#: Buckets up to SMALL have all their pairs weighed; larger ones are dealt into blocks of about BLOCK sets, of which HUBS meet
+#: those of other blocks; DEAL is the number of sets outside main components that meet a block at once.
+SMALL, BLOCK, HUBS, DEAL = 64, 256, 4, 512
+#: Columns of a matrix product.
+WIDTH = 4096
 #: Least number of equal samples of a pair that goes on: at similarity 0.8 fewer than 15 of 30 come about 2 times in 100,000.
 LEAST_EQUAL = SAMPLES // 2
 TABLE = 1 << 16
@@ -124,7 +128,9 @@ def frequencies(texts: DataFrame) -> tuple[np.ndarray, int]:
 
 
 def slot_weights(total: np.ndarray, docs: int, damp: float = DAMP) -> np.ndarray:
-    idf = np.log((1 + docs) / np.maximum(1, total)) / np.log(2 + docs)
+    """The weight of one occurrence of each slot's shingles, from the documents that hold them."""
+    own = np.maximum(1.0, total - total.sum() / len(total))  # without the mean of what foreign shingles add
+    idf = np.log(np.maximum(own / max(1, docs), RARE)) / np.log(RARE)
     return (1 + damp * np.clip(idf, 0, 1)).astype(np.float32)
 
 
@@ -241,55 +247,85 @@ def small_pairs(rows: DataFrame, threshold: float) -> DataFrame:
     return rows.repartition("key").sortWithinPartitions("key").select("key", "rid", "w", "sig").mapInPandas(work, "a long, b long")
 
 
-def closest_in_block(b: pd.DataFrame, other: pd.DataFrame, most: int | None, hubs: int, threshold: float) -> pd.DataFrame:
-    """Of each row of ``b`` the ``most`` closest rows of ``other`` (None: all) and the closest of its first ``hubs``, if they may reach the threshold."""
-    x, y = (np.frombuffer(b"".join(t["sig"]), "<u2").reshape(-1, SAMPLES) for t in (b, other))
-    equal = np.zeros((len(x), len(y)), np.int16)
-    for k in range(SAMPLES):
-        equal += x[:, k, None] == y[None, :, k]
-    u, v = b["w"].values[:, None], other["w"].values[None, :]
-    bad = (np.minimum(u, v) < threshold * np.maximum(u, v) * (1 - 1e-6)) | (equal < LEAST_EQUAL) | (b["rid"].values[:, None] == other["rid"].values[None, :])
-    if "comp" in b.columns:
-        bad |= b["comp"].values[:, None] == other["comp"].values[None, :]
-    equal[bad] = 0
-    if most is None:
-        rows, cols = np.nonzero(equal)
-    else:
-        k = min(most, len(y))
-        picks = [np.argpartition(-equal, k - 1, axis=1)[:, :k]]
-        if hubs:
-            picks.append(equal[:, :hubs].argmax(axis=1)[:, None])
-        cols = np.concatenate(picks, axis=1)
-        rows = np.repeat(np.arange(len(x)), cols.shape[1])
-        cols = cols.ravel()
-        good = equal[rows, cols] > 0
-        rows, cols = rows[good], cols[good]
-    i, j = b["rid"].values[rows], other["rid"].values[cols]
-    return pd.DataFrame({"a": np.minimum(i, j), "b": np.maximum(i, j)}).drop_duplicates()
-
-
-def block_pairs(rows: DataFrame, threshold: float) -> DataFrame:
-    """Candidate pairs of large buckets: (key, rid, w, sig, mass, m) with ``m`` the bucket's members."""
-    spark = rows.sparkSession
-    out = spark.createDataFrame([], "a long, b long")
+def shared_weights(xs: list[bytes], ys: list[bytes], weigh: np.ndarray) -> np.ndarray:
+    """xs x ys: the weight that two packed sets share, repeats included. Only shingles on both sides make columns."""
+
+    def keyed(parts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        token = np.frombuffer(b"".join(parts), "<u4").astype(np.uint64)
+        row = np.repeat(np.arange(len(parts)), [len(p) // 4 for p in parts])
+        new = np.ones(len(token), bool)
+        new[1:] = (token[1:] != token[:-1]) | (row[1:] != row[:-1])
+        at = np.flatnonzero(new)
+        nth = np.arange(len(token)) - np.repeat(at, np.diff(np.append(at, len(token))))
+        return token << np.uint64(32) | nth.astype(np.uint64), row
+
+    sides = [keyed(xs), keyed(ys)]
+    vocabulary = np.intersect1d(sides[0][0], sides[1][0])
+    value = weigh[(vocabulary >> np.uint64(44)).astype(np.int64)].astype(np.float64)
+    placed = []
+    for key, row in sides:
+        at = np.searchsorted(vocabulary, key)
+        good = (at < len(vocabulary)) & (vocabulary[np.minimum(at, len(vocabulary) - 1)] == key) if len(vocabulary) else np.zeros(len(key), bool)
+        order = np.argsort(at[good], kind="stable")
+        placed.append((at[good][order], row[good][order]))
+    out = np.zeros((len(xs), len(ys)))
+    for k in range(0, len(vocabulary), WIDTH):
+        sheets = []
+        for (at, row), n in zip(placed, out.shape, strict=True):
+            i, j = np.searchsorted(at, [k, k + WIDTH])
+            sheet = np.zeros((n, min(WIDTH, len(vocabulary) - k)))
+            sheet[row[i:j], at[i:j] - k] = 1.0
+            sheets.append(sheet)
+        out += (sheets[0] * value[k : k + WIDTH]) @ sheets[1].T
+    return out
+
+
+def linked(x: pd.DataFrame, y: pd.DataFrame, weigh: np.ndarray, threshold: float) -> np.ndarray:
+    """x x y: whether two sets reach the threshold, exactly."""
+    shared = shared_weights(list(x["set"]), list(y["set"]), weigh)
+    return shared >= threshold * (x["w"].values[:, None] + y["w"].values[None, :] - shared) * (1 - 1e-6)
+
+
+def ties(b: pd.DataFrame, weigh: np.ndarray, threshold: float) -> pd.DataFrame:
+    """(a, b): each row of a block with the first row of its component in the block, fewer ties than rows."""
+    near, rid = linked(b, b, weigh, threshold), b["rid"].values
+    first = np.full(len(b), -1)
+    for i in range(len(b)):
+        if first[i] < 0:
+            reached, edge = np.zeros(len(b), bool), np.array([i])
+            while len(edge):
+                reached[edge] = True
+                edge = np.flatnonzero(near[edge].any(axis=0) & ~reached)
+            first[reached] = i
+    other = np.flatnonzero(first != np.arange(len(b)))
+    i, j = rid[other], rid[first[other]]
+    return pd.DataFrame({"a": np.minimum(i, j), "b": np.maximum(i, j)})
+
+
+def block_ties(rows: DataFrame, sets: DataFrame, weights, threshold: float) -> DataFrame:
+    """(a, b) of texts that hang together within blocks of a bucket: (key, rid, cls, mass, m) with ``m`` the rows of the key."""
+    out = rows.sparkSession.createDataFrame([], "a long, b long")
 
     def work(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for many in whole_runs(batches, ["key", "block"]):
             for _, b in many.groupby(["key", "block"], sort=False):
-                yield closest_in_block(b, b, CLOSEST, 2 * HUBS, threshold)
+                yield ties(b, weights.value, threshold)
+        give_back()
 
     while True:
         most = rows.agg(F.max("m")).first()[0]
         if most is None:
             return out
-        dealt = rows.withColumn("block", F.pmod(F.xxhash64("rid", "key"), F.ceil(F.col("m") / BLOCK).cast("long")))
-        ordered = dealt.repartition("key", "block").sortWithinPartitions("key", "block", F.desc("mass"), "rid")
-        out = out.unionByName(ordered.select("key", "block", "rid", "w", "sig").mapInPandas(work, "a long, b long"))
+        dealt = rows.withColumn("block", F.pmod(F.xxhash64("cls", "key"), F.ceil(F.col("m") / BLOCK).cast("long")))
+        whole = dealt.select("key", "block", "rid").join(sets, "rid")
+        ordered = whole.repartition("key", "block").sortWithinPartitions("key", "block", "rid")
+        found, _ = settled(ordered.select("key", "block", "rid", "w", "set").mapInPandas(work, "a long, b long"))
+        out = out.unionByName(found)
         if most <= BLOCK:
             return out
-        rank = F.row_number().over(Window.partitionBy("key", "block").orderBy(F.desc("mass"), "rid"))  # about BLOCK rows each
+        rank = F.row_number().over(Window.partitionBy("key", "block").orderBy(F.desc("mass"), "cls"))  # about BLOCK rows each
         hubs = dealt.where(F.col("m") > BLOCK).withColumn("rank", rank).where(F.col("rank") <= HUBS)
-        rows, _ = settled(hubs.withColumn("m", F.ceil(F.col("m") / BLOCK) * HUBS).select("key", "rid", "w", "sig", "mass", "m"))
+        rows, _ = settled(hubs.withColumn("m", F.ceil(F.col("m") / BLOCK) * HUBS).select("key", "rid", "cls", "mass", "m"))
 
 
 def verified(pairs: DataFrame, sets: DataFrame, weights, threshold: float) -> DataFrame:
@@ -298,24 +334,19 @@ def verified(pairs: DataFrame, sets: DataFrame, weights, threshold: float) -> Da
     def work(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         weigh = weights.value
 
-        def keyed(parts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-            sizes = np.array([len(p) // 4 for p in parts])
+        def counted(parts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
             token = np.frombuffer(b"".join(parts), "<u4").astype(np.uint64)
-            pair = np.repeat(np.arange(len(parts), dtype=np.uint64), sizes)
-            new = np.ones(len(token), bool)
-            new[1:] = (token[1:] != token[:-1]) | (pair[1:] != pair[:-1])
-            at = np.flatnonzero(new)
-            nth = np.arange(len(token)) - np.repeat(at, np.diff(np.append(at, len(token))))
-            return pair << np.uint64(52) | token << np.uint64(20) | np.minimum(nth, (1 << 20) - 1).astype(np.uint64), token, pair
+            pair = np.repeat(np.arange(len(parts), dtype=np.uint64), [len(p) // 4 for p in parts])
+            return np.unique(pair << np.uint64(32) | token, return_counts=True)
 
         for b in batches:
             for k in range(0, len(b), 256):
                 part = b.iloc[k : k + 256]
-                x, token, pair = keyed(list(part["set_a"]))
-                y, _, _ = keyed(list(part["set_b"]))
+                (x, n), (y, m) = counted(list(part["set_a"])), counted(list(part["set_b"]))
                 at = np.minimum(np.searchsorted(y, x), len(y) - 1)
                 both = y[at] == x
-                shared = np.bincount(pair[both].astype(np.int64), weights=weigh[(token[both] >> np.uint64(12)).astype(np.int64)], minlength=len(part))
+                worth = weigh[(x[both] >> np.uint64(12) & np.uint64(SLOTS - 1)).astype(np.int64)] * np.minimum(n[both], m[at[both]])
+                shared = np.bincount((x[both] >> np.uint64(32)).astype(np.int64), weights=worth, minlength=len(part))
                 good = shared >= threshold * (part["w_a"].values + part["w_b"].values - shared) * (1 - 1e-6)
                 yield part.loc[good, ["a", "b"]]
         give_back()
@@ -350,30 +381,42 @@ def components(edges: DataFrame, labels: DataFrame | None = None) -> DataFrame:
             return at
 
 
-def outsiders_pairs(rows: DataFrame, labels: DataFrame, threshold: float, most: int | None = None) -> DataFrame:
-    """Candidate pairs across components in large buckets: each member outside its bucket's main component with the ``most``
-    closest members of other components in every block of the bucket, or with all of them that may reach the threshold."""
-    own = rows.join(labels, "rid", "left").withColumn("comp", F.coalesce("comp", "rid"))
-    own = own.withColumn("block", F.pmod(F.xxhash64("rid"), F.ceil(F.col("m") / BLOCK).cast("long")))
-    sizes = own.groupBy("key", "comp").count()
-    main = sizes.groupBy("key").agg(F.max_by("comp", F.struct("count", "comp")).alias("main"), F.count(F.lit(1)).alias("parts"), F.sum("count").alias("members"))
-    own, rows_own = settled(join_unique(own, main.where("parts > 1"), "key", F.col("members"), max(1, rows.count())))
-    out = own.where("comp <> main").withColumn("deal", F.pmod(F.xxhash64(F.lit(3), "rid"), F.lit(1 << 20)))
-    deals = out.groupBy("key").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("long").alias("deals"), F.max("members").alias("many"))
-    members = join_unique(own, deals, "key", F.col("many"), max(1, rows_own)).withColumn("deal", F.explode(F.sequence(F.lit(0).cast("long"), F.col("deals") - 1)))
-    out = out.join(deals, "key").withColumn("deal", F.pmod("deal", "deals"))
-    out = out.withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), F.ceil(F.col("m") / BLOCK).cast("long") - 1)))
-    names = ["key", "block", "deal", "side", "rid", "w", "sig", "comp"]
-    rows = members.withColumn("side", F.lit(1)).select(names).union(out.withColumn("side", F.lit(0)).select(names))
+def outsider_links(rows: DataFrame, sets: DataFrame, labels: DataFrame, weights, threshold: float) -> DataFrame:
+    """(a, b) of links across components in large buckets: (key, rid, cls, m), a row a text and bucket.
+
+    Each text outside the main component of one of its buckets is dealt, by the hash of its set, to the others of its largest
+    bucket; a deal of about ``DEAL`` meets all members of all buckets that its texts lie in, each once, in blocks. A text is
+    tied once to each component that it is linked with in a block.
+    """
+    comp = F.coalesce("comp", "rid").alias("comp")
+    own, _ = settled(rows.join(labels, "rid", "left").select("key", "rid", "cls", "m", comp))
+    sizes = own.groupBy("key", "comp").agg(F.count(F.lit(1)).alias("n"), F.min("cls").alias("least"))
+    main = sizes.groupBy("key").agg(F.max_by("comp", F.struct("n", "least")).alias("main"), F.count(F.lit(1)).alias("parts"), F.sum("n").alias("members"))
+    out = join_unique(own, main.where("parts > 1"), "key", F.col("members"), max(1, rows.count())).where("comp <> main")
+    out, _ = settled(out.select("key", "rid", "cls", "m", "comp"))
+    home = out.groupBy("rid").agg(F.max_by("key", F.struct("m", "key")).alias("home"), F.first("cls").alias("cls"), F.first("comp").alias("comp"))
+    many = home.groupBy("home").agg(F.count(F.lit(1)).alias("n"))
+    asked, _ = settled(home.join(many, "home").select("rid", "comp", F.xxhash64("home", F.pmod(F.xxhash64(F.lit(3), "cls"), F.ceil(F.col("n") / DEAL).cast("long"))).alias("deal")))
+    wants = out.select("key", "rid").join(asked.select("rid", "deal"), "rid").select("key", "deal").distinct()
+    met, _ = settled(own.select("key", "rid", "cls", "comp").join(wants, "key").groupBy("deal", "rid").agg(F.first("cls").alias("cls"), F.first("comp").alias("comp")))
+    blocks = met.groupBy("deal").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("long").alias("blocks"), F.count(F.lit(1)).alias("members"))
+    y = join_unique(met, blocks, "deal", F.col("members"), max(1, met.count()))
+    y = y.select("deal", F.pmod(F.xxhash64("cls"), "blocks").alias("block"), F.lit(1).alias("side"), "rid", "comp")
+    x = asked.join(blocks, "deal").select("deal", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("block"), F.lit(0).alias("side"), "rid", "comp")
+    whole = y.unionByName(x).join(sets, "rid").select("deal", "block", "side", "rid", "comp", "w", "set")
 
     def work(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for many in whole_runs(batches, ["key", "block", "deal"]):
-            for _, b in many.groupby(["key", "block", "deal"], sort=False):
+        for many in whole_runs(batches, ["deal", "block"]):
+            for _, b in many.groupby(["deal", "block"], sort=False):
                 x, y = b[b["side"] == 0], b[b["side"] == 1]
                 if len(x) and len(y):
-                    yield closest_in_block(x, y, most, 0, threshold)
+                    near = linked(x, y, weights.value, threshold) & (x["comp"].values[:, None] != y["comp"].values[None, :])
+                    i, j = np.nonzero(near)
+                    found = pd.DataFrame({"x": x["rid"].values[i], "y": y["rid"].values[j], "comp": y["comp"].values[j]}).drop_duplicates(["x", "comp"])
+                    yield pd.DataFrame({"a": np.minimum(found["x"], found["y"]), "b": np.maximum(found["x"], found["y"])})
+        give_back()
 
-    return rows.repartition("key", "block", "deal").sortWithinPartitions("key", "block", "deal").mapInPandas(work, "a long, b long")
+    return whole.repartition("deal", "block").sortWithinPartitions("deal", "block", "side", "rid").mapInPandas(work, "a long, b long")
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
@@ -401,22 +444,25 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     sizes = banded.groupBy("key").agg(F.count(F.lit(1)).alias("m")).where("m > 1")
     buckets, _ = settled(join_unique(banded, sizes, "key", F.col("m"), max(1, n)))
     mass = buckets.groupBy("rid").agg(F.sum("m").alias("mass"))
-    members, _ = settled(groups.select("rid", "w", "sig").join(mass, "rid"))  # only texts that share a bucket
-    filled = buckets.join(members, "rid")
-    small = filled.where(F.col("m") <= SMALL)
-    large, in_large = settled(filled.where(F.col("m") > SMALL))
+    members, _ = settled(groups.select("rid", "cls", "w", "sig").join(mass, "rid"))  # only texts that share a bucket
+    small = buckets.where(F.col("m") <= SMALL).join(members, "rid")
+    large, in_large = settled(buckets.where(F.col("m") > SMALL).join(members.select("rid", "cls", "mass"), "rid"))
 
-    pairs, _ = settled(small_pairs(small, threshold).union(block_pairs(large, threshold)).distinct())
+    pairs, _ = settled(small_pairs(small, threshold).distinct())
     sets, _ = settled(some_sets(every, members), 5000)
     edges, _ = settled(verified(pairs, sets, weights, threshold))
+    if in_large:
+        order = F.struct("m", "key")
+        ends = F.array_distinct(F.array(F.max_by("key", order), F.min_by("key", order)))
+        chosen = large.groupBy("rid").agg(ends.alias("ends"), F.first("cls").alias("cls"), F.first("mass").alias("mass"))
+        chosen, _ = settled(chosen.select("rid", "cls", "mass", F.explode("ends").alias("key")))
+        dealt = chosen.groupBy("key").agg(F.count(F.lit(1)).alias("m"))
+        edges = edges.unionByName(block_ties(join_unique(chosen, dealt, "key", F.col("m"), in_large), sets, weights, threshold))
     labels = components(edges)
     if in_large:
-        for most in (2 * CLOSEST, None):  # the closest first, so that few texts are left to be compared with all
-            more, _ = settled(outsiders_pairs(large, labels, threshold, most).distinct().join(pairs, ["a", "b"], "left_anti"))
-            links, found = settled(verified(more, sets, weights, threshold))
-            if found:
-                labels = components(links, labels)
-            pairs = pairs.union(more)
+        more, found = settled(outsider_links(large, sets, labels, weights, threshold))
+        if found:
+            labels = components(more, labels)
 
     at = groups.select("cls", "rid", "best", "copies").join(labels, "rid", "left").withColumn("comp", F.coalesce("comp", "rid"))
     heads = at.groupBy("comp").agg(F.min("best").alias("head"), F.sum("copies").alias("class_size"), F.count(F.lit(1)).alias("texts"))

@@ -1,6 +1,7 @@
 from itertools import combinations
 
 import numpy as np
+from pyspark.sql import functions as F
 
 from tessera.llm import near_dedup as N
 
@@ -60,7 +61,7 @@ def check(docs):
 
 
 def test_odd_rows(odd_docs, no_docs):
-    assert check(odd_docs.where("doc_id is null or doc_id <> 6")) > 3
+    assert check(odd_docs) > 3
     assert N.near_duplicates(no_docs).count() == 0
 
 
@@ -80,17 +81,68 @@ def test_large_group_of_near_copies(spark):
 
 
 def test_outsiders_meet_every_member(spark):
-    """Many members look closer to the outsider than the one that may be its only partner; all are candidates."""
-    g = np.random.default_rng(5)
-    sig = g.integers(0, 1 << 16, N.SAMPLES).astype("<u2")
-    far = lambda n: np.where(np.arange(N.SAMPLES) < n, sig, sig + 1).astype("<u2").tobytes()
-    rows = [(7, i, 100.0, far(25), 600, 600) for i in range(599)] + [(7, 599, 100.0, far(18), 600, 600), (7, 1000, 100.0, sig.tobytes(), 600, 600)]
-    rows += [(7, 2000, 70.0, far(30), 600, 600), (7, 2001, 100.0, far(10), 600, 600)]
-    rows = spark.createDataFrame([(k, r, w, bytes(x), a, m) for k, r, w, x, a, m in rows], "key long, rid long, w double, sig binary, mass long, m long")
-    labels = spark.createDataFrame([(i, 0) for i in range(600)], "rid long, comp long")
-    got = {(r["a"], r["b"]) for r in N.outsiders_pairs(rows, labels, N.THRESHOLD).collect()}
-    assert {a for a, b in got if b == 1000} == set(range(600))
-    assert not [p for p in got if 2000 in p]
+    """A text outside the main component is weighed against all members of its buckets, whatever their number."""
+    rows = []
+    for i in range(700):  # a chain: each text shares a share of 0.85 with the next, so its ends have nothing in common
+        rows.append((i, list(range(i * 15, i * 15 + 185))))
+    rows.append((900, list(range(699 * 15 + 16, 699 * 15 + 201))))  # hangs on the chain's last text alone
+    rows.append((901, list(range(100, 240)) + list(range(90_000, 90_045))))  # reaches no text
+    data = [(r, bytes([r % 256, r // 256]), float(len(t)), np.array(sorted(t), "<u4").tobytes()) for r, t in rows]
+    every = spark.createDataFrame(data, "rid long, cls binary, w double, set binary")
+    labels = spark.createDataFrame([(i, 0) for i in range(700)], "rid long, comp long")
+    weights = spark.sparkContext.broadcast(np.ones(N.SLOTS, np.float32))
+    large = every.select(F.lit(7).cast("long").alias("key"), "rid", "cls", F.lit(len(rows)).cast("long").alias("m"))
+    got = {(r["a"], r["b"]) for r in N.outsider_links(large, every.select("rid", "w", "set"), labels, weights, N.THRESHOLD).collect()}
+    assert got == {(699, 900)}
+
+
+def test_matrix_products_against_bags():
+    g = np.random.default_rng(4)
+    bags = [sorted(g.integers(0, 1 << 32, 40).tolist() * 2 + g.integers(0, 50, int(n)).tolist()) for n in (0, 5, 300, 3, 90)]
+    bags += [sorted(bags[2][:200] + bags[4]), bags[0][:17]]
+    weigh = g.random(N.SLOTS).astype(np.float32)
+    packs = [np.array(x, "<u4").tobytes() for x in bags]
+    want = [[sum(min(a.count(t), b.count(t)) * float(weigh[t >> 12]) for t in set(a)) for b in bags[3:]] for a in bags]
+    width, N.WIDTH = N.WIDTH, 16
+    try:
+        assert np.allclose(N.shared_weights(packs, packs[3:], weigh), want)
+    finally:
+        N.WIDTH = width
+
+
+def test_classes_do_not_depend_on_the_dealing(spark):
+    """The same classes however the rows are dealt, with a hot bucket and a very long text among its members."""
+    base = words(3, 150)
+    rows = [(i, mutated(base, i, i % 15)) for i in range(330)] + [(900, base), (901, words(2, 30_000)), (902, words(2, 30_000) + " more"), (903, base + " " + base)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = [sorted((r["id"], r["class_id"], r["class_size"], r["kept"]) for r in N.near_duplicates(docs.repartition(n)).collect()) for n in (1, 3, 11)]
+    assert found[0] == found[1] == found[2]
+    assert check(docs) > 1000 and [x[1] for x in found[0] if x[0] in (901, 902)] == [901, 901]
+
+
+def test_weights_are_alike_at_every_size():
+    """Foreign shingles fill all slots as the corpus grows; the weight of a shingle of a given share of it stays."""
+    g = np.random.default_rng(1)
+    for docs in (10_000, 1_000_000, 100_000_000):
+        noise = g.poisson(300 * docs / N.SLOTS, N.SLOTS).astype(float)
+        for share in (0.0, 0.01, 0.1, 0.5, 1.0):
+            total = noise.copy()
+            total[:100] += share * docs
+            idf = min(1.0, np.log(max(share, N.RARE)) / np.log(N.RARE))
+            assert np.allclose(N.slot_weights(total, docs)[:100], 1 + N.DAMP * idf, atol=0.02)
+
+
+def test_near_copies_are_caught(spark):
+    """Of texts with one to five changed words in a hundred and fifty, all that reach the threshold are found."""
+    rows, pairs = [], []
+    for i in range(300):
+        base = words(10_000 + i, 150)
+        rows += [(2 * i, base), (2 * i + 1, mutated(base, i, 1 + i % 5))]
+        pairs.append((2 * i, 2 * i + 1))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    of = {r["id"]: r["class_id"] for r in N.near_duplicates(docs).collect()}
+    caught = [of[a] == of[b] for a, b in pairs]
+    assert sum(c for k, c in enumerate(caught) if k % 5 < 2) == 120 and sum(caught) >= 0.9 * sum(1 for i in range(300) if i % 5 < 3)
 
 
 def test_shared_passages_are_no_copies(spark):
