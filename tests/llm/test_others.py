@@ -204,6 +204,52 @@ def test_no_line_of_an_article_is_lost(inner):
         assert got[: len(want)] == want and "More" not in got
 
 
+@pytest.mark.parametrize(
+    "html, want",
+    [
+        (f'<div class="content has-sidebar"><p>{LONG}</div>', LONG), (f'<div class="no-sidebar"><p>{LONG}</div>', LONG), (f'<div class="sidebar-layout"><p>{LONG}<p>{LONG}</div>', f"{LONG}\n{LONG}"),
+        (f"<form id=aspnet><p>{LONG}</form>", LONG), (f'<div class="content has-sidebar"><p>{LONG}</div><div class="left-sidebar"><p>Other things to read</div>', LONG),
+        (f"<div><p>{LONG}</p><p><a href=r>See the full report here</a></p><p>{LONG}</p></div>", f"{LONG}\nSee the full report here\n{LONG}"),
+        (f"<article><p>short teaser</article><div><p>{LONG}<p>{LONG}</div>", f"{LONG}\n{LONG}"), (f"<article><p>{LONG}</article><article><h2>Card</h2></article>", LONG),
+        (f"<article><p>{LONG}</article><article><p>{LONG} Again.</article>", f"{LONG}\n{LONG} Again."), (f"<div><p>{LONG}</div><div class=comments><p>{LONG}<p>{LONG}<p>{LONG}</div>", LONG),
+    ],
+)
+def test_wrappers_cards_and_links(html, want):
+    """Classes that describe a layout, forms around a page, teaser cards and lines of links lose no article."""
+    assert html_text.main_text(html) == want
+
+
+@pytest.mark.parametrize("unit", ["<a ", "<a x='", "<b>", "</i>", "<b><div></div>", "<!-", "<![CDATA[", "</script ", "<title>", "<p><b>", "&amp", '<a "x> y', "<div class=nav>"])
+def test_time_is_linear(unit):
+    """A megabyte of broken markup takes about a second or less; text that is read again and again would take hours."""
+    import time
+
+    html = unit * (1_000_000 // len(unit)) + "'"
+    began = time.perf_counter()
+    html_text.main_text(html)
+    html_text.main_text("<p>" + html + '"')
+    assert time.perf_counter() - began < 12
+
+
+def test_unmarked_pages_against_brute_force():
+    """Pages without marked parts against a plain search for the outermost windows, line by line."""
+    g = random.Random(8)
+    for _ in range(300):
+        lines = [words(g.randint(0, 1 << 30), g.choice((1, 1, 2, 3, 12, 25))) for _ in range(g.randint(1, 14))]
+        links = [g.random() < 0.3 for _ in lines]
+        rooms = sorted(g.randint(0, 3) for _ in lines)
+        html = "".join("<div>" * (i == 0 or rooms[i] != rooms[i - 1]) + (f"<p><a href=x>{t}</a></p>" if a else f"<p>{t}</p>") + "</div>" * (i + 1 == len(lines) or rooms[i] != rooms[i + 1]) for i, (t, a) in enumerate(zip(lines, links, strict=True)))
+        w = [0 if a else len(t) for t, a in zip(lines, links, strict=True)]
+        starts = [i for i in range(len(w)) if w[i] and sum(w[i : i + 3]) >= 60]
+        ends = [i for i in range(len(w)) if w[i] and sum(w[max(0, i - 2) : i + 1]) >= 60]
+        if starts:
+            first, last = starts[0], ends[-1]
+            keep = [i for i in range(len(w)) if first <= i <= last or rooms[i] in (rooms[first], rooms[last])]
+        else:
+            keep = range(len(w))
+        assert html_text.main_text(html) == "\n".join(lines[i] for i in keep)
+
+
 def test_pages(spark):
     got = html_text.op8_html_extraction(spark, SMALL).collect()
     pages = {r["page_id"]: r for r in spark.read.parquet(f"{SMALL}/pages.parquet").collect()}
