@@ -26,7 +26,7 @@ OUTPUT = ("size", "source_size", "target", "taken", "copies")
 def word_count(text: Column) -> Column:
     """Number of maximal runs of ``[^\\x20\\x09-\\x0D]`` (null: 0).
 
-    Spaces become a zero byte each; a run starts at each other character after one. Counted by lengths, without regex.
+    All white space becomes spaces, with one before the text; a run starts at each other character after a space.
     """
     t = F.concat(F.lit(" "), F.translate(F.coalesce(text, F.lit("")), "\t\n\x0b\x0c\r", "     "))
     return F.regexp_count(t, F.lit(" [^ ]")).cast("long")
@@ -60,39 +60,49 @@ def quotas(sizes: list[tuple[object, int]], words: float, weights: tuple[float,
 def min_cost_flow(supply: list[float], demand: list[float], arcs: list[tuple[int, int]], repeats: int) -> list[dict[int, float]]:
     """Flow of each pattern to each source: as much demand as can be met, at least convex repetition cost.
 
-    The k-th repetition of a pattern costs ``2k + 1`` a word. Successive shortest paths with potentials on the bipartite
-    graph; a pattern that has a single source and shares it with none is settled at once.
+    The k-th repetition of a pattern costs ``2k + 1`` a word. The network falls apart into sets of patterns and sources that
+    hang together; each is solved by successive shortest paths with potentials, also that of a source alone.
     """
     flow: list[dict[int, float]] = [{} for _ in supply]
-    of: dict[int, list[int]] = {}
-    for p, s in arcs:
-        of.setdefault(s, []).append(p)
-    into: dict[int, list[int]] = {}
+    up = list(range(len(supply) + len(demand)))
+
+    def find(i: int) -> int:
+        while up[i] != i:
+            up[i] = up[up[i]]
+            i = up[i]
+        return i
+
     for p, s in arcs:
-        into.setdefault(p, []).append(s)
-    loose = []
-    for s, ps in of.items():  # a source fed by one pattern that feeds nothing else
-        if len(ps) == 1 and len(into[ps[0]]) == 1:
-            flow[ps[0]][s] = min(demand[s], repeats * supply[ps[0]])
-        else:
-            loose.append(s)
-    if not loose:
-        return flow
+        up[find(p)] = find(len(supply) + s)
+    apart: dict[int, list[tuple[int, int]]] = {}
+    for p, s in sorted(arcs):
+        apart.setdefault(find(p), []).append((p, s))
+    for own in apart.values():
+        patterns, sources = (sorted(set(side)) for side in zip(*own, strict=True))
+        to_p, to_s = ({x: i for i, x in enumerate(xs)} for xs in (patterns, sources))
+        part = shortest_paths([supply[p] for p in patterns], [demand[s] for s in sources], [(to_p[p], to_s[s]) for p, s in own], repeats)
+        for p, given in zip(patterns, part, strict=True):
+            flow[p] = {sources[s]: x for s, x in given.items()}
+    return flow
+
+
+def shortest_paths(supply: list[float], demand: list[float], arcs: list[tuple[int, int]], repeats: int) -> list[dict[int, float]]:
+    """:func:`min_cost_flow` of one connected network."""
     # nodes: 0 root, 1..P patterns, P+1..P+S sources, end
     n, m = len(supply), len(demand)
+    flow: list[dict[int, float]] = [{} for _ in supply]
     graph: list[list[list]] = [[] for _ in range(n + m + 2)]
 
     def arc(u: int, v: int, cap: float, cost: float) -> None:
         graph[u].append([v, cap, cost, len(graph[v])])
         graph[v].append([u, 0.0, -cost, len(graph[u]) - 1])
 
-    alive = {p for s in loose for p in of[s]}
-    for p in sorted(alive):
+    for p in range(n):
         for k in range(repeats):
             arc(0, 1 + p, supply[p], 2 * k + 1)
-        for s in sorted(into[p]):
-            arc(1 + p, 1 + n + s, float("inf"), 0)
-    for s in sorted(loose):
+    for p, s in arcs:
+        arc(1 + p, 1 + n + s, float("inf"), 0)
+    for s in range(m):
         arc(1 + n + s, n + m + 1, demand[s], 0)
     pot = [0.0] * len(graph)
     while True:
@@ -124,7 +134,7 @@ def min_cost_flow(supply: list[float], demand: list[float], arcs: list[tuple[int
             graph[u][i][1] -= push
             graph[v][graph[u][i][3]][1] += push
             v = u
-    for p in alive:
+    for p in range(n):
         for v, _, _, r in graph[1 + p]:
             if v > n and (f := graph[v][r][1]) > 0:
                 flow[p][v - n - 1] = flow[p].get(v - n - 1, 0.0) + f

@@ -314,6 +314,17 @@ def test_flow_is_cheapest():
     assert math.isclose(mine, best)
 
 
+def test_every_quota_comes_from_the_flow(spark, monkeypatch):
+    """Sources of one pattern each are networks of their own, solved like others."""
+    solved = []
+    real = mixing.shortest_paths
+    monkeypatch.setattr(mixing, "shortest_paths", lambda *a: solved.append(real(*a)) or solved[-1])
+    got = mixing.op9_mixing(spark, SMALL).collect()
+    assert len(solved) == len({r["source_size"] for r in got}) > 3
+    assert sorted(sum(f[0].values()) for f in solved) == pytest.approx(sorted({r["source_size"]: r["target"] for r in got}.values()))
+    assert mixing.min_cost_flow([5.0, 0.0], [12.0, 3.0], [(0, 0), (1, 1)], 2) == [{0: 10.0}, {}]
+
+
 def test_mix(spark, odd_docs, no_docs):
     docs = spark.read.parquet(f"{SMALL}/documents.parquet")
     once = {r["doc_id"]: r for r in mixing.mix_by_source(docs).collect()}
