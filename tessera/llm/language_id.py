@@ -16,7 +16,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import ROW, give_back, join_unique, packed, small_batches, table, unpacked
+from .common import ROW, checkpoint, give_back, join_unique, packed, small_batches, table, unpacked
+from .html_text import extract_text
 from .url_filter import host_of
 
 BUCKETS = 1 << 16
@@ -60,19 +61,21 @@ def text_scores(texts: list[str], model: np.ndarray) -> np.ndarray:
 
 
 def fit_models(rows: DataFrame, declared: str, text: str, fit_rows: int = FIT_ROWS) -> tuple[list[str], np.ndarray]:
-    """(languages by code point, 65,536 x languages of log probabilities), from at most ``fit_rows`` rows of each declared one.
+    """(languages by code point, 65,536 x languages of log probabilities), from at most ``fit_rows`` texts of each declared one.
 
-    The sample is the rows of least hash, so it is the same in every run; counts are summed on the executors.
+    The sample is the distinct texts of least hash, so it is the same in every run and copies of one text count as one;
+    trigram counts are summed on the executors.
     """
     known = rows.where(F.col(declared).isNotNull() & (F.trim(declared) != "")).withColumn("__h", F.xxhash64(text))
-    n = known.groupBy(declared).count().where(F.col("count") >= LEAST_ROWS).orderBy(F.desc("count"), declared).limit(MAX_LANGUAGES).collect()
+    n = known.groupBy(declared).agg(F.count(F.lit(1)).alias("count"), F.approx_count_distinct("__h").alias("texts"))
+    n = n.where(F.col("count") >= LEAST_ROWS).orderBy(F.desc("count"), declared).limit(MAX_LANGUAGES).collect()
     names = sorted(r[declared] for r in n)
     if not names:
         return ["und"], np.zeros((BUCKETS, 1), np.float32)
-    # Of each language, a share of rows by hash that holds about twice fit_rows; then the least hashes exactly.
-    share = {r[declared]: min(1.0, 2.0 * fit_rows / r["count"]) for r in n}
+    # Of each language, a share of texts by hash that holds about twice fit_rows; then the least hashes exactly.
+    share = {r[declared]: min(1.0, 2.0 * fit_rows / max(1, r["texts"])) for r in n}
     level = F.create_map(*[F.lit(x) for k in names for x in (k, share[k])])[F.col(declared)]
-    pool = known.where(F.col(declared).isin(names)).where(F.pmod("__h", F.lit(1_000_000)) < level * 1_000_000)
+    pool = known.where(F.col(declared).isin(names)).where(F.pmod("__h", F.lit(1_000_000)) < level * 1_000_000).dropDuplicates([declared, "__h"])
     pool = pool.withColumn("__k", F.row_number().over(Window.partitionBy(declared).orderBy("__h"))).where(f"__k <= {fit_rows}")
     place = {k: i for i, k in enumerate(names)}
 
@@ -102,7 +105,8 @@ def identify(docs: DataFrame, text_col: str = "text", declared_col: str | None =
 
     ``host_col`` names the host, or ``url_col`` an address to take it from. A row is accepted when its text holds a letter,
     its best language's posterior is at least ``least``, and ``accept`` (default: all modelled) has that language. A text
-    without any letter is ``und`` with confidence 0, and so is one that declares a language without a model. Missing declarations, hosts and suffixes (null or empty) are no
+    without any letter is ``und`` with confidence 0, and so is one that declares a language without a model. Of languages with
+    the same posterior the first by code point counts. Missing declarations, hosts and suffixes (null or empty) are no
     evidence. Input columns named like an output are replaced; repeated rows are judged alike; an empty table gives an
     empty result.
     """
@@ -159,7 +163,8 @@ def identify(docs: DataFrame, text_col: str = "text", declared_col: str | None =
     if count <= BROADCAST_HOSTS:
         out = scored.join(F.broadcast(hosts.drop("n")), "__host", "left")
     else:
-        out = join_unique(scored, hosts, "__host", F.col("n"), docs.count(), "left")
+        out = join_unique(checkpoint(scored.withColumn("__letters", letters).drop("__text")), hosts, "__host", F.col("n"), docs.count(), "left")
+        letters = F.col("__letters")
     none = F.array_repeat(F.lit(0.0), len(names))
     add = lambda a, b: F.zip_with(a, b, lambda x, y: x + y)
     out = out.withColumn("__s", add(add(F.col("__s"), F.coalesce("__prior", whole)), F.coalesce(F.try_element_at(evidence, F.col("__declared")), none)))
@@ -171,6 +176,31 @@ def identify(docs: DataFrame, text_col: str = "text", declared_col: str | None =
     return out.select(*unpacked(out), *OUTPUT)
 
 
+#: Where a page declares its language: the root element's attribute, else a meta element (fixed patterns).
+MARKUP = (r"""(?is)<html\b[^>]*?\s(?:xml:)?lang\s*=\s*["']?\s*([a-z]+)""", r"""(?is)<meta\b[^>]*?content-language[^>]*?\bcontent\s*=\s*["']?\s*([a-z]+)""")
+
+
+def declared_by(html: Column) -> Column:
+    """The primary language tag that markup declares, in lower case; empty if none."""
+    found = [F.lower(F.regexp_extract(F.coalesce(html, F.lit("")), pattern, 1)) for pattern in MARKUP]
+    return F.when(found[0] != "", found[0]).otherwise(found[1])
+
+
+def identify_pages(pages: DataFrame, html_col: str = "html", url_col: str = "url", **how) -> DataFrame:
+    """Each row of ``pages`` with ``detected, confidence, accepted``: likelihood of the extracted main text, the markup's own
+    declaration, the suffix of the address and the host's prior. Null html is an empty text, a null url no evidence."""
+    rows = extract_text(pages.select(pages[f"`{html_col}`"].alias("html"), pages[f"`{url_col}`"].alias("url"), packed(pages).alias("page")))
+    rows = rows.select("page", "text", "url", declared_by(F.col("html")).alias("lang"))
+    found = identify(rows, url_col="url", keep=("page",), **how)
+    kept = [c for c in pages.columns if c not in OUTPUT]
+    return found.select(*[F.col("page")[c].alias(c) for c in kept], *OUTPUT)
+
+
+def language_id_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language of every page, with the evidence of markup, address suffix and host."""
+    return identify_pages(table(spark, sf_dir, "pages")).select("page_id", *OUTPUT)
+
+
 def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The language of every document: its declared language as markup's, its source as host."""
     docs = table(spark, sf_dir, "documents")

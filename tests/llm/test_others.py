@@ -151,6 +151,82 @@ def test_rare_languages(spark):
     assert got == {**{7000 + i: ("bb", True) for i in range(5)}, 8000: ("und", False)}
 
 
+def test_copies_are_one_text_of_the_fit(spark):
+    """A text copied thousands of times does not crowd the others out of the sample."""
+    rows = [(words(i, 20, "abcde"), "aa") for i in range(40)] + [("zz zz zz", "aa")] * 4000
+    df = spark.createDataFrame(rows, "t string, d string")
+    names, model = language_id.fit_models(df, "d", "t", fit_rows=60)
+    code = language_id.trigrams(["zz zz zz"])[0]
+    assert names == ["aa"] and np.exp(model[code, 0]).max() < 0.05
+
+
+def plain_posterior(rows, names, model):
+    """The fused posterior of (text, declared, host), by loops over all rows."""
+    text = language_id.text_scores([t for t, _, _ in rows], model)
+    letters = [any(c.isalpha() for c in t) for t, _, _ in rows]
+    said = text.argmax(axis=1)
+    k = len(names)
+    suffix = lambda h: h.rsplit(".", 1)[-1] if "." in h else ""
+    corpus, by_suffix, by_host, table = np.ones(k), {}, {}, np.full((k, k), language_id.PULL_TABLE)
+    for (_, d, h), s, fine in zip(rows, said, letters, strict=True):
+        if fine:
+            corpus[s] += 1
+            by_suffix.setdefault(suffix(h), np.zeros(k))[s] += 1
+            by_host.setdefault(h, np.zeros(k))[s] += 1
+            if d in names:
+                table[names.index(d), s] += 1
+    corpus, table = corpus / corpus.sum(), np.log(table / table.sum(axis=0))
+    pull = lambda c, up, by: (c + by * up) / (c.sum() + by)
+    out = []
+    for (_, d, h), s, fine in zip(rows, text, letters, strict=True):
+        if not fine:
+            out.append(("und", 0.0))
+            continue
+        prior = pull(by_host[h], pull(by_suffix[suffix(h)], corpus, language_id.PULL_SUFFIX), language_id.PULL_HOST)
+        total = s + np.log(prior) + (table[names.index(d)] if d in names else 0)
+        p = np.exp(total - total.max())
+        out.append((names[int(total.argmax())], float(1 / p.sum())))
+    return out
+
+
+@pytest.mark.parametrize("broadcast", [50_000, 2])
+def test_fusion_against_loops(spark, monkeypatch, broadcast):
+    """Text, declaration, suffix and host, with hosts broadcast and with hosts joined by shuffle."""
+    monkeypatch.setattr(language_id, "BROADCAST_HOSTS", broadcast)
+    g = random.Random(6)
+    kinds = {"aa": "abcde", "bb": "cdefg", "cc": "efghi"}
+    rows = []
+    for i in range(240):
+        k = g.choice("aa aa bb cc".split())
+        rows.append((words(i, g.choice((1, 1, 2, 12)), kinds[k]) if i % 31 else "12 34", g.choice([k, k, "", "aa"]), g.choice([f"h{i % 3}.{k}", f"x.{k}", "local", ""])))
+    df = spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], "doc_id long, text string, lang string, source string")
+    names, model = language_id.fit_models(df.select("lang", "text"), "lang", "text")
+    want = plain_posterior(rows, names, model)
+    got = sorted(language_id.identify(df, host_col="source").collect(), key=lambda r: r["doc_id"])
+    assert [r["detected"] for r in got] == [w[0] for w in want] and len({w[0] for w in want}) == 4
+    assert np.allclose([r["confidence"] for r in got], [w[1] for w in want], atol=1e-6)
+
+
+def test_pages_languages(spark):
+    """Markup, suffix and host decide where the text says little; null and broken pages are und."""
+    kinds = {"aa": "abcde", "bb": "fghij"}
+    rows = [(i, f"http://s{i % 5}.{k}/p", f'<!DOCTYPE html><HTML class=x LANG="{k.upper()}-XX"><body><p>{words(i, 30, kinds[k])}</p></body></html>', "old") for i, k in enumerate(["aa", "bb"] * 40)]
+    rows += [(100, "http://s1.bb/x", "<p>q</p>", ""), (101, "http://new.aa/x", '<meta http-equiv="content-language" content="aa"><p>q</p>', ""), (102, None, None, ""), (103, "http://s0.aa/", "", "")]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string, detected string")
+    got = {r["page_id"]: r["detected"] for r in language_id.identify_pages(df).collect()}
+    assert all(got[i] == ("aa" if i % 2 == 0 else "bb") for i in range(80)) and [got[i] for i in (100, 101, 102, 103)] == ["bb", "aa", "und", "und"]
+    assert language_id.language_id_pages(spark, SMALL).where("not accepted").count() <= 2
+
+
+def test_clashing_names_and_ties(spark):
+    """Input columns named like outputs give way; languages that tie go by code point."""
+    df = spark.createDataFrame([(i, words(i // 2, 9, "abc"), k, 0.5, True, "x") for i, k in enumerate(["bb", "aa"] * 20)], "doc_id long, text string, lang string, confidence double, accepted boolean, detected string")
+    out = language_id.identify(df, declared_col="lang")
+    assert sorted(out.columns) == sorted(df.columns)
+    blank = language_id.identify(df.withColumn("lang", F.lit(None).cast("string")), declared_col="lang").collect()
+    assert {r["detected"] for r in blank} == {"und"} and out.where("detected = 'aa'").count() == 40
+
+
 def test_trigram_scores_against_loop():
     g = np.random.default_rng(0)
     model = g.normal(size=(language_id.BUCKETS, 3)).astype(np.float32)
