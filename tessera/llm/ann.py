@@ -5,9 +5,13 @@ either half are ranked by inner product and the cells traversed by the summed di
 inner product, first) with a heap, until they hold a set share of all vectors. The rows of those cells are ranked by the
 exact inner product of the original vectors in double precision.
 
-Centroids are fitted in numpy on at most ``FIT_ROWS`` vectors. The share is calibrated there too: brute force over that
-sample tells how far a traversal must go for ``RECALL``. Every row is indexed. Cells are packed into blocks of about ``BLOCK``
-rows; a cell with more, whatever it holds, is dealt over several blocks, so none grows with the data.
+Centroids are fitted in numpy on at most ``FIT_ROWS`` vectors; their number grows with the fourth root of the rows, so that
+cells grow with the square root. The share is calibrated there too: brute force over that sample tells how far a traversal
+must go for ``RECALL``. Every row is indexed. Cells are packed into blocks of about ``BLOCK`` rows; a cell with more, whatever
+it holds, is dealt over several blocks, so none grows with the data. A row is copied once for ``QUERIES_A_TASK`` queries.
+
+Rows are told apart by a number of their own, so rows that share a vec_id are candidates and queries of their own. Vectors
+are searched among those of their length, since others have no inner product with them.
 """
 
 from __future__ import annotations
@@ -22,20 +26,27 @@ from pyspark.sql import functions as F
 
 from .common import checkpoint, table
 
-CENTROIDS, FIT_ROWS, FIT_QUERIES, RECALL = 32, 10_000, 200, 0.97
-BLOCK, QUERIES_A_TASK = 4096, 2048
+LEAST_CENTROIDS, MOST_CENTROIDS, FIT_ROWS, FIT_QUERIES, RECALL = 32, 256, 10_000, 200, 0.97
+BLOCK, QUERIES_A_TASK = 4096, 16_384
+#: Vectors of more lengths than this are refused with an error, never cut.
+MOST_LENGTHS = 100
 RESULT = "query_id long, rank int, vec_id long, score double"
 
 
 def usable(vectors: DataFrame, id_col: str, vector_col: str) -> DataFrame:
-    """(vec_id, v): ids with a vector that is neither null, empty, zero nor holds null or non-finite components.
+    """(rid, vec_id, v): rows whose vector is neither null, empty, zero nor holds null or non-finite components.
 
-    Of rows with the same id the least vector counts. Rows without an id take no part.
+    ``rid`` numbers the rows. Rows without an id take no part.
     """
     v = F.col("v")
     rows = vectors.select(vectors[f"`{id_col}`"].cast("long").alias("vec_id"), vectors[f"`{vector_col}`"].cast("array<double>").alias("v")).where("vec_id is not null and v is not null")
     fine = F.forall(v, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))) & F.exists(v, lambda x: x != 0)
-    return rows.where(F.coalesce(fine, F.lit(False))).groupBy("vec_id").agg(F.min("v").alias("v"))
+    return rows.where(F.coalesce(fine, F.lit(False))).select(F.monotonically_increasing_id().alias("rid"), "vec_id", "v")
+
+
+def centroids_for(rows: int) -> int:
+    """Twice the fourth root of the rows, within bounds that hold the fit and the table of cells."""
+    return int(min(MOST_CENTROIDS, max(LEAST_CENTROIDS, round(2 * rows**0.25))))
 
 
 def k_means(x: np.ndarray, k: int, g: np.random.Generator, rounds: int = 12) -> np.ndarray:
@@ -103,22 +114,30 @@ def exact(rows: np.ndarray, q: np.ndarray) -> np.ndarray:
     return (rows * q).sum(axis=1)
 
 
-def search(vectors: DataFrame, query_rows, k: int = 20, id_col: str = "vec_id", vector_col: str = "embedding", centroids: int = CENTROIDS, fit_rows: int = FIT_ROWS, recall: float = RECALL, seed: int = 3) -> DataFrame:
+def search(vectors: DataFrame, query_rows, k: int = 20, id_col: str = "vec_id", vector_col: str = "embedding", centroids: int | None = None, fit_rows: int = FIT_ROWS, recall: float = RECALL, seed: int = 3) -> DataFrame:
     """(query_id, rank, vec_id, score): the ``k`` largest inner products of each query among all other rows.
 
     ``query_rows`` is a condition on ``vec_id``. Ties go to the smaller vec_id; a query with fewer candidates gets them all.
-    Vectors of another length than the commonest take no part. See :func:`usable` for rows left out; an empty table gives
-    an empty result.
+    Rows that share a vec_id are rows of their own: each is a candidate of the others, and as queries each has its ranks.
+    See :func:`usable` for rows left out; an empty table gives an empty result.
     """
     spark = vectors.sparkSession
     rows = checkpoint(usable(vectors, id_col, vector_col))
-    lengths = rows.groupBy(F.size("v").alias("d")).count().orderBy(F.desc("count"), "d").first()
-    if lengths is None:
-        return spark.createDataFrame([], RESULT)
-    dim, n = lengths["d"], lengths["count"]
-    rows = rows.where(F.size("v") == dim)
+    lengths = rows.groupBy(F.size("v").alias("d")).count().orderBy(F.desc("count"), "d").limit(MOST_LENGTHS + 1).collect()
+    if len(lengths) > MOST_LENGTHS:
+        raise ValueError(f"vectors of more than {MOST_LENGTHS} lengths")
+    out = spark.createDataFrame([], RESULT)
+    for r in lengths:
+        out = out.unionByName(search_length(rows.where(F.size("v") == r["d"]), r["d"], r["count"], query_rows, k, centroids, fit_rows, recall, seed))
+    return out
+
+
+def search_length(rows: DataFrame, dim: int, n: int, query_rows, k: int, centroids: int | None, fit_rows: int, recall: float, seed: int) -> DataFrame:
+    """:func:`search` among the ``n`` rows of one length."""
+    spark = rows.sparkSession
+    centroids = centroids or centroids_for(n)
     pool = rows if n <= 2 * fit_rows else rows.where(F.pmod(F.xxhash64(F.lit(4), "vec_id"), F.lit(1_000_000)) < 2.0 * fit_rows / n * 1_000_000)
-    sample = np.array([r["v"] for r in pool.orderBy(F.xxhash64("vec_id"), "vec_id").limit(fit_rows).select("v").collect()], np.float64)  # at most fit_rows
+    sample = np.array([r["v"] for r in pool.orderBy(F.xxhash64("vec_id"), "vec_id", "rid").limit(fit_rows).select("v").collect()], np.float64)  # at most fit_rows
     g = np.random.Generator(np.random.PCG64(seed))
     half = max(1, dim // 2)
     halves = (k_means(sample[:, :half], centroids, g), k_means(sample[:, half:], centroids, g))
@@ -129,9 +148,9 @@ def search(vectors: DataFrame, query_rows, k: int = 20, id_col: str = "vec_id",
     def assign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             x = np.array(b["v"].tolist(), np.float64).reshape(-1, dim)
-            yield pd.DataFrame({"vec_id": b["vec_id"], "cell": cells_of(x, index.value), "vec": [r.tobytes() for r in x]})
+            yield pd.DataFrame({"rid": b["rid"], "vec_id": b["vec_id"], "cell": cells_of(x, index.value), "vec": [r.tobytes() for r in x]})
 
-    indexed = checkpoint(rows.mapInPandas(assign, "vec_id long, cell int, vec binary"))
+    indexed = checkpoint(rows.mapInPandas(assign, "rid long, vec_id long, cell int, vec binary"))
     sizes = np.zeros(many, np.int64)
     for r in indexed.groupBy("cell").count().collect():  # at most centroids ** 2 rows
         sizes[r["cell"]] = r["count"]
@@ -149,37 +168,40 @@ def search(vectors: DataFrame, query_rows, k: int = 20, id_col: str = "vec_id",
             room -= int(sizes[c])
     plan = spark.sparkContext.broadcast((sizes, first, parts))
     queries = indexed.where(query_rows)
-    chunks = max(1, -(-queries.count() // QUERIES_A_TASK))
+    asking = queries.count()
+    chunks = max(1, -(-asking // QUERIES_A_TASK))
 
     def route(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         sizes, first, parts = plan.value
         for b in batches:
             out = []
-            for q, raw in zip(b["vec_id"], b["vec"], strict=True):
+            for own, q, raw in zip(b["rid"], b["vec_id"], b["vec"], strict=True):
                 by_block: dict[int, list[int]] = {}
                 for c in traverse(np.frombuffer(raw), index.value, sizes, share * n + k + 1):
                     for p in range(parts[c]):
                         by_block.setdefault(int(first[c] + p), []).append(c)
-                out += [(k, q, raw, np.array(sorted(cs), "<i4").tobytes()) for k, cs in by_block.items()]
-            yield pd.DataFrame(out, columns=["block", "query_id", "vec", "cells"])
+                out += [(k, own, q, raw, np.array(sorted(cs), "<i4").tobytes()) for k, cs in by_block.items()]
+            yield pd.DataFrame(out, columns=["block", "rid", "query_id", "vec", "cells"])
 
     def place(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         _, first, parts = plan.value
         for b in batches:
             c = b["cell"].values
-            deal = (b["vec_id"].values.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(33)).astype(np.int64)
-            yield b.assign(block=first[c] + deal % parts[c])[["block", "vec_id", "cell", "vec"]]
-
-    asked = queries.repartition(F.col("vec_id")).mapInPandas(route, "block long, query_id long, vec binary, cells binary")
-    asked = asked.withColumn("chunk", F.pmod(F.xxhash64("query_id"), F.lit(chunks)))
-    held = indexed.mapInPandas(place, "block long, vec_id long, cell int, vec binary")
+            deal = (b["rid"].values.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(33)).astype(np.int64)
+            yield b.assign(block=first[c] + deal % parts[c])[["block", "rid", "vec_id", "cell", "vec"]]
+
+    # Traversal takes longer than its rows are long, so their number, not their bytes, decides on the tasks.
+    tasks = max(1, min(-(-asking // 64), max(spark.sparkContext.defaultParallelism, -(-asking // 1024))))
+    asked = queries.repartition(tasks, "rid").mapInPandas(route, "block long, rid long, query_id long, vec binary, cells binary")
+    asked = asked.withColumn("chunk", F.pmod(F.xxhash64("rid"), F.lit(chunks)))
+    held = indexed.mapInPandas(place, "block long, rid long, vec_id long, cell int, vec binary")
     held = held.withColumn("chunk", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(chunks - 1).cast("long"))))
 
     def rank(asked: pd.DataFrame, held: pd.DataFrame) -> pd.DataFrame:
         found: list[tuple] = []
         if len(asked) and len(held):
-            held = held.sort_values(["cell", "vec_id"], kind="stable")
-            ids, x = held["vec_id"].values, np.frombuffer(b"".join(held["vec"])).reshape(len(held), -1)
+            held = held.sort_values(["cell", "vec_id", "rid"], kind="stable")
+            ids, own, x = held["vec_id"].values, held["rid"].values, np.frombuffer(b"".join(held["vec"])).reshape(len(held), -1)
             cell = held["cell"].values
             starts = np.flatnonzero(np.append(True, cell[1:] != cell[:-1]))
             spans = {int(cell[a]): (a, b) for a, b in zip(starts, np.append(starts[1:], len(cell)), strict=True)}
@@ -195,19 +217,19 @@ def search(vectors: DataFrame, query_rows, k: int = 20, id_col: str = "vec_id",
                     if c in spans:
                         a, b = spans[c]
                         near[who, a:b] = q[who] @ x[a:b].T
-                near[part["query_id"].values[:, None] == ids[None, :]] = -np.inf
-                for i, query in enumerate(part["query_id"].values):
+                near[part["rid"].values[:, None] == own[None, :]] = -np.inf
+                for i, (query, asker) in enumerate(zip(part["query_id"].values, part["rid"].values, strict=True)):
                     s = near[i]
                     least = np.partition(s, -k)[-k] if len(s) > k else -np.inf
                     slack = 1e-9 * max(1.0, abs(least)) if np.isfinite(least) else 0.0
                     pick = np.flatnonzero((s >= least - slack) & (s > -np.inf))
                     score = exact(x[pick], q[i])
-                    best = np.lexsort((ids[pick], -score))[:k]
-                    found += [(query, ids[pick[j]], score[j]) for j in best]
-        return pd.DataFrame(found, columns=["query_id", "vec_id", "score"])
+                    best = np.lexsort((own[pick], ids[pick], -score))[:k]
+                    found += [(asker, query, own[pick[j]], ids[pick[j]], score[j]) for j in best]
+        return pd.DataFrame(found, columns=["asker", "query_id", "rid", "vec_id", "score"])
 
-    top = asked.groupBy("block", "chunk").cogroup(held.groupBy("block", "chunk")).applyInPandas(rank, "query_id long, vec_id long, score double")
-    order = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))  # at most k rows a block
+    top = asked.groupBy("block", "chunk").cogroup(held.groupBy("block", "chunk")).applyInPandas(rank, "asker long, query_id long, rid long, vec_id long, score double")
+    order = F.row_number().over(Window.partitionBy("asker").orderBy(F.desc("score"), "vec_id", "rid"))  # at most k rows a block
     return top.withColumn("rank", order).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 
 
