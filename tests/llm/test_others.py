@@ -45,7 +45,8 @@ URLS = [
     ("https://WWW.example.NET/en/1?x#y", "www.example.net", "/en/1", "example.net/en/", "allow"), ("http://example.net/EN/", "example.net", "/EN/", "net/", "block"),
     ("http://example.com/de/", "example.com", "/de/", "example.com/de/", "block"), ("http://badexample.com/de/", "badexample.com", "/de/", None, "allow"),
     ("x://org/fr/", "org", "/fr/", "org/fr/", "allow"), ("x://evil.com/a.example.com/de/", "evil.com", "/a.example.com/de/", None, "allow"), ("x://a?b", "a", "", None, "allow"),
-    ("x://cheap-pills.example.com", "cheap-pills.example.com", "", None, "block"), ("x://a.com/spam-/", "a.com", "/spam-/", None, "allow"), ("x://é.net/ü", "é.net", "/ü", "net/", "block"),
+    ("x://cheap-pills.example.com", "cheap-pills.example.com", "", None, "block"), ("x://a.com/a/spam-/", "a.com", "/a/spam-/", None, "block"), ("x://a.com/a/b/c/casino", "a.com", "/a/b/c/casino", None, "allow"),
+    ("x://a.com/x/buy-poker/1", "a.com", "/x/buy-poker/1", None, "block"), ("x://a.com/casino-royale", "a.com", "/casino-royale", None, "allow"), ("x://a.com/b/porn.html?x", "a.com", "/b/porn.html", None, "block"), ("x://é.net/ü", "é.net", "/ü", "net/", "block"),
     ("x://a.net/" + "p" * 5000, "a.net", "/" + "p" * 5000, "net/", "block"), ("x://y://z.net/", "y:", "//z.net/", None, "allow"),
 ]
 
@@ -57,15 +58,54 @@ def test_urls(spark):
     assert url_filter.filter_urls(df.limit(0)).count() == 0
 
 
-def test_automaton_against_regex():
+def as_regex(glob):
+    return re.compile("".join(".*" if p == "**" else "[^/]*" if p == "*" else re.escape(p) for p in re.findall(r"\*\*|.", glob)), re.S)
+
+
+@pytest.mark.parametrize("most", [1 << 26, 0])
+def test_automaton_against_regex(monkeypatch, most):
+    """Also where the memory of steps is emptied all the time."""
+    monkeypatch.setattr(url_filter, "MOST_BYTES", most)
     g = random.Random(3)
-    globs = ["".join(g.choice(["a", "b", "/", "*", "**"]) for _ in range(g.randint(0, 9))).replace("***", "**") for _ in range(60)]
-    globs = [re.sub(r"\*{2,}", "**", x) for x in globs]
-    m = url_filter.compile_globs(globs)
-    assert len(m.start) > 1
-    texts = ["".join(g.choice("ab/") for _ in range(g.randint(0, 12))) for _ in range(300)]
-    want = [[bool(re.fullmatch("".join(".*" if p == "**" else "[^/]*" if p == "*" else p for p in re.findall(r"\*\*|.", x)), t)) for x in globs] for t in texts]
-    assert url_filter.run_automaton(m, [t.encode() for t in texts]).tolist() == want
+    globs = [re.sub(r"\*{2,}", "**", "".join(g.choice(["a", "b", "/", "*", "**"]) for _ in range(g.randint(0, 9)))) for _ in range(60)]
+    m = url_filter.Automaton(globs)
+    assert m.size > 128
+    run = m.runner()
+    for _ in range(1500):
+        text = "".join(g.choice("ab/") for _ in range(g.randint(0, 12)))
+        assert m.matched(run(text.encode())) == [i for i, x in enumerate(globs) if as_regex(x).fullmatch(text)]
+
+
+def test_verdicts_of_all_globs():
+    """The thousand default globs on URLs made of their own words, against regular expressions."""
+    assert len(url_filter.GLOBS) > 1000
+    g, tests = random.Random(9), [as_regex(x) for x in url_filter.GLOBS]
+    run = (m := url_filter.Automaton(list(url_filter.GLOBS))).runner()
+    for _ in range(400):
+        word = lambda: g.choice(["", "news", "buy-", "a"]) + g.choice([*url_filter.UNWANTED, "x", "y", "z", ""]) + g.choice(["", "", ".html", ".php", "s"])
+        url = f"{g.choice(['www.a', word()])}.com" + "".join(f"/{word()}" for _ in range(g.randint(0, 4)))
+        assert m.matched(run(url.encode())) == [i for i, x in enumerate(tests) if x.fullmatch(url)]
+
+
+def test_long_urls_and_many_globs():
+    import time
+
+    m = url_filter.Automaton(list(url_filter.GLOBS))
+    for url in (b"a.com/" + b"p" * 1_000_000, b"a.com" + b"/q" * 500_000, b"casino.com/" + b"xyz-" * 250_000):
+        began = time.perf_counter()
+        m.runner()(url)
+        assert time.perf_counter() - began < 0.5
+    many = url_filter.Automaton([f"*.site{i}.com/**" for i in range(50_000)])
+    assert many.matched(many.runner()(b"www.site4321.com/x")) == [4321]
+
+
+def test_globs_of_a_table(spark):
+    globs = url_filter.globs_of(spark.createDataFrame([("b.com/**",), (None,), ("a.*",), ("a.*",)], "glob string"))
+    assert globs == ("a.*", "b.com/**")
+    df = spark.createDataFrame([("x://a.org",), ("x://b.com/1",), ("x://c.com/1",)], "url string")
+    assert [r["verdict"] for r in url_filter.filter_urls(df, rules=(("allow", "com/"), ("block", "org/")), globs=globs).collect()] == ["block", "allow", "allow"]
+    ties = (("block", "ab.c/"), ("allow", "ab.c/"))  # of equal rules the earlier
+    assert url_filter.filter_urls(spark.createDataFrame([("x://ab.c/",)], "url string"), rules=ties).first()["verdict"] == "block"
 
 
 # --- nearest neighbours
