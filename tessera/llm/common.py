@@ -21,11 +21,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def checkpoint(df: DataFrame) -> DataFrame:
     """Eager reliable checkpoint in the shared folder of ``spark.checkpoint.dir``.
 
-    A temporary folder is used only where the session names none, as in tests.
+    A temporary folder is used only where the session names none and is local, as in tests; on a cluster that is an error.
     """
     sc = df.sparkSession.sparkContext
     if sc.getCheckpointDir() is None:
         named = df.sparkSession.conf.get("spark.checkpoint.dir", None)
+        if not named and not sc.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         sc.setCheckpointDir(named or tempfile.mkdtemp(prefix="tessera-checkpoint-"))
     return df.checkpoint()
 

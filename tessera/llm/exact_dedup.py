@@ -12,8 +12,12 @@ from pyspark.sql import functions as F
 
 from .common import ROW, checkpoint, join_unique, packed, table, unpacked
 
-#: Upper bound of a filter's slots for each of the two hashes: 2**25 bits, half a million 64-bit words, about 25 MB once broadcast.
-MAX_SLOTS = 1 << 25
+#: Upper bound of a filter's slots for each of the two hashes: 2**28 bits, 32 MB each once broadcast. A row without a twin
+#: then moves with a chance of (1 - exp(-rows / slots)) ** 2: 0.4 % to 16 million rows, 5 % at 64 million, 40 % at 268 million.
+#: Where executors can hold more, raise it: the result is the same at any size.
+MAX_SLOTS = 1 << 28
+#: Words of 64 bits to a row of the filter, which keeps the broadcast table close to the size of its bits.
+PAGE = 64
 OUTPUT = ("keep_id", "group_size", "kept", "text_sha256")
 #: The characters of the class [\x20\x09-\x0D] (fixed values).
 SPACES = (" ", "\t", "\n", "\x0b", "\x0c", "\r")
@@ -27,13 +31,25 @@ def without_space(text: Column) -> Column:
 
 def slots_for(rows: int, most: int = MAX_SLOTS) -> int:
     """16 slots a row, a power of two, within the bound; beyond it the filter only passes more rows on to the exact step."""
-    return min(most, max(1 << 10, 1 << (16 * max(1, rows) - 1).bit_length()))
+    return min(most, max(1 << 12, 1 << (16 * max(1, rows) - 1).bit_length()))
 
 
-def repeated_slots(slots: DataFrame) -> DataFrame:
-    """(word, bits): the filter of the slots in column ``slot`` that occur at least twice, 64 to a word."""
-    twice = slots.groupBy("slot").count().where("count > 1")
-    return twice.groupBy(F.shiftright("slot", 6).alias("word")).agg(F.expr("bit_or(shiftleft(1L, int(slot & 63)))").alias("bits"))
+def filter_pages(slots: DataFrame) -> DataFrame:
+    """(page, words): a bit for each value of the column ``slot``, ``PAGE`` words of 64 to a row; pages without a bit lack."""
+    word = F.shiftright("slot", 6)
+    words = slots.groupBy(word.alias("word")).agg(F.expr("bit_or(shiftleft(1L, int(slot & 63)))").alias("bits"))
+    at = F.pmod("word", F.lit(PAGE)).cast("int")
+    pages = words.groupBy(F.floor(F.col("word") / PAGE).cast("long").alias("page")).agg(F.map_from_entries(F.collect_list(F.struct(at.alias("k"), F.col("bits").alias("v")))).alias("m"))  # at most PAGE entries
+    return pages.select("page", F.transform(F.sequence(F.lit(0), F.lit(PAGE - 1)), lambda i: F.coalesce(F.try_element_at("m", i), F.lit(0).cast("long"))).alias("words"))
+
+
+def page_of(slot: str) -> Column:
+    return F.floor(F.col(slot) / (64 * PAGE)).cast("long")
+
+
+def hit(slot: str, words: str) -> Column:
+    """Whether the filter's page ``words`` (null: none) has the slot's bit."""
+    return F.expr(f"coalesce(getbit({words}[int(shiftright({slot}, 6) % {PAGE})], int({slot} & 63)), 0) = 1")
 
 
 def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep: tuple[str, ...] | None = None, max_slots: int = MAX_SLOTS) -> DataFrame:
@@ -51,13 +67,13 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     first = F.pmod(F.xxhash64("__sha"), F.lit(m))
     second = F.pmod(F.xxhash64(F.lit(1), "__sha"), F.lit(m)) + F.lit(m)
     seen = base.select(F.explode(F.array(first, second)).alias("slot"))
-    words = checkpoint(repeated_slots(seen))  # at most 2 * m / 64 rows
+    repeated = seen.groupBy("slot").count().where("count > 1").select("slot")
+    pages = checkpoint(filter_pages(repeated))  # at most 2 * m bits
 
-    a, b = (F.broadcast(words.toDF(f"__w{i}", f"__b{i}")) for i in (1, 2))
+    a, b = (F.broadcast(pages.where(side).toDF(f"__p{i}", f"__w{i}")) for i, side in ((1, F.col("page") <= (m - 1) // (64 * PAGE)), (2, F.col("page") >= m // (64 * PAGE))))
     tested = base.withColumn("__s1", first).withColumn("__s2", second)
-    tested = tested.join(a, F.shiftright("__s1", 6) == F.col("__w1"), "left").join(b, F.shiftright("__s2", 6) == F.col("__w2"), "left")
-    hit = lambda i: F.expr(f"coalesce(getbit(__b{i}, int(__s{i} & 63)), 0) = 1")
-    tested = tested.withColumn("__maybe", hit(1) & hit(2))
+    tested = tested.join(a, page_of("__s1") == F.col("__p1"), "left").join(b, page_of("__s2") == F.col("__p2"), "left")
+    tested = tested.withColumn("__maybe", hit("__s1", "__w1") & hit("__s2", "__w2"))
 
     alone = tested.where("not __maybe").select(ROW, F.col("__id").alias("keep_id"), F.lit(1).cast("long").alias("group_size"), F.lit(True).alias("kept"), F.col("__sha").alias("text_sha256"))
     maybe = checkpoint(tested.where("__maybe").select(ROW, "__id", "__n", "__sha", F.monotonically_increasing_id().alias("__rid")))

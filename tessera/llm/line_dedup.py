@@ -16,7 +16,7 @@ from .url_filter import LOWER, UPPER, host_of
 
 #: A line is boilerplate on a host when more than RATIO of its pages hold it and at least LEAST_PAGES do.
 RATIO, LEAST_PAGES = 0.2, 3
-#: Up to so many dropped lines in all (about 10 MB) are broadcast; beyond it pages and hosts are joined by shuffle.
+#: Up to so many dropped lines or hosts in all (about 10 MB) are broadcast; beyond it pages and hosts are joined by shuffle.
 BROADCAST_LINES = 200_000
 OUTPUT = ("host", "text", "n_lines", "n_dropped")
 #: Elements that end a line (fixed values).
@@ -60,7 +60,12 @@ def line_dedup(pages: DataFrame, host: Column, lines: Column, ratio: float = RAT
     counts = rows.select("host", F.explode(F.array_distinct(F.transform("__lines", digest))).alias("line")).groupBy("host", "line").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= least_pages)
     totals = rows.groupBy("host").agg(F.count(F.lit(1)).alias("pages"))
     # A host with fewer pages than least_pages has no boilerplate; the counts are few after the filter, the totals one a host.
-    common = counts.join(totals, "host").where(F.col("n") > F.lit(float(ratio)) * F.col("pages"))
+    totals = checkpoint(totals)
+    if totals.count() <= BROADCAST_LINES:
+        met = counts.join(F.broadcast(totals), "host")
+    else:
+        met = join_unique(counts, totals, "host", F.col("pages"), max(1, pages.count()))
+    common = met.where(F.col("n") > F.lit(float(ratio)) * F.col("pages"))
     dropped = common.groupBy("host").agg(F.collect_list("line").alias("__drop"), F.first("pages").alias("pages"))
     dropped = checkpoint(dropped)
     if (dropped.agg(F.coalesce(F.sum(F.size("__drop")), F.lit(0))).first()[0]) <= BROADCAST_LINES:

@@ -473,12 +473,12 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 def some_sets(every: DataFrame, members: DataFrame) -> DataFrame:
     """(rid, w, set) of the members. A Bloom filter of bounded size keeps the other rows' sets from being shuffled."""
-    from .exact_dedup import slots_for
+    from .exact_dedup import filter_pages, hit, page_of, slots_for
 
-    m = slots_for(members.count())
-    slot = F.pmod(F.xxhash64("rid"), F.lit(m))
-    words = members.select(slot.alias("slot")).groupBy(F.shiftright("slot", 6).alias("word")).agg(F.expr("bit_or(shiftleft(1L, int(slot & 63)))").alias("bits"))
-    near = every.withColumn("slot", slot).join(F.broadcast(words), F.shiftright("slot", 6) == F.col("word")).where("getbit(bits, int(slot & 63)) = 1")
+    m = slots_for(members.count(), 1 << 27)
+    slot = F.pmod(F.xxhash64("rid"), F.lit(m)).alias("slot")
+    pages = filter_pages(members.select(slot))
+    near = every.withColumn("slot", slot).join(F.broadcast(pages), page_of("slot") == F.col("page")).where(hit("slot", "words"))
     return near.select("rid", "w", "set").join(members.select("rid"), "rid")
 
 

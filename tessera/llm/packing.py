@@ -58,7 +58,7 @@ def encoder(name: str = VOCABULARY):
 def tokenised(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", name: str = VOCABULARY, end: int = 0) -> DataFrame:
     """(doc_id as text, ids as a binary of little-endian unsigned 16-bit values, n): the ids of each text, then ``end``.
 
-    16 bits hold any id of a vocabulary of at most 65,536 entries. As text, null and large doc_ids pass through pandas whole.
+    16 bits hold any id of a vocabulary of at most 65,536 entries; an id of a larger one is refused with an overflow error. As text, null and large doc_ids pass through pandas whole.
     """
     import numpy as np
 

@@ -23,8 +23,8 @@ from pyspark.sql import functions as F
 from .common import ROW, packed, small_batches, table, unpacked
 
 MOST_POSITIVE, MOST_UNLABELLED = 3000, 9000
-#: Words that the model may weigh, at most, and the least positives a word must occur in.
-MOST_FEATURES, LEAST_POSITIVES = 20_000, 3
+#: The least positives a word must occur in to be weighed, and how far from chance; the samples bound the words.
+LEAST_POSITIVES, LEAST_Z = 3, 4
 WORD = re.compile(r"[^\W\d_]+")
 STEPS, RATE, DECAY = 300, 0.05, 1e-4
 OUTPUT = ("held_out", "score", "predicted")
@@ -39,10 +39,33 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 5 == 0, F.lit(False))
 
 
+Sparse = tuple[np.ndarray, np.ndarray, int]  # row and word of each entry of a 0/1 matrix, rows
+
+
+def risk(w: np.ndarray, bias: float, positive: Sparse, unlabelled: Sparse, prior: float) -> tuple[float, float, np.ndarray]:
+    """(prior * R+(positive), R-(unlabelled) - prior * R-(positive), the gradient to step along) under the logistic loss.
+
+    The risk is the first plus the second where that is not negative. Where it is, the step is the gradient of its negation.
+    """
+    (rp, kp, n), (ru, ku, m) = positive, unlabelled
+    sigmoid = lambda x: 1 / (1 + np.exp(-np.clip(x, -40, 40)))
+    fp, fu = bias + np.bincount(rp, w[kp], n), bias + np.bincount(ru, w[ku], m)
+    as_positive = prior * np.logaddexp(0, -fp).mean()
+    negative = np.logaddexp(0, fu).mean() - prior * np.logaddexp(0, fp).mean()
+    # Gradients by document: of the loss as positive (s - 1) and as negative (s).
+    gp, gu = prior * (sigmoid(fp) - 1) / n, np.zeros(m)
+    hp, hu = -prior * sigmoid(fp) / n, sigmoid(fu) / m
+    gp, gu = (gp + hp, gu + hu) if negative >= 0 else (-hp, -hu)
+    grad = np.bincount(kp, gp[rp], len(w)) + np.bincount(ku, gu[ru], len(w))
+    return as_positive, negative, np.append(grad, gp.sum() + gu.sum())
+
+
 def fit(positive: list[np.ndarray], unlabelled: list[np.ndarray], prior: float, seed: int = 5) -> tuple[np.ndarray, np.ndarray, float]:
     """(word hashes, weights, bias) from the word-hash arrays of the documents of each set."""
+    prior = min(1 - 1e-6, max(prior, 1e-6))
+    nothing = np.zeros(0, np.uint32), np.zeros(0), float(np.log(prior / (1 - prior)))
     if not positive or not unlabelled:
-        return np.zeros(0, np.uint32), np.zeros(0), float(np.log(max(prior, 1e-6) / (1 - min(prior, 1 - 1e-6))))
+        return nothing
     pos, unl = np.concatenate(positive), np.concatenate(unlabelled)
     words, n = np.unique(pos, return_counts=True)
     words, n = words[n >= LEAST_POSITIVES], n[n >= LEAST_POSITIVES]
@@ -51,36 +74,23 @@ def fit(positive: list[np.ndarray], unlabelled: list[np.ndarray], prior: float,
     m = np.where(seen[at] == words, m[at], 0) if len(seen) else np.zeros(len(words))
     p, q = n / len(positive), (m + 1) / (len(unlabelled) + 1)
     z = (p - q) / np.sqrt(np.maximum(q * (1 - q), 1e-9) / len(positive))  # words commoner among positives than by chance
-    best = np.argsort(-np.abs(z), kind="stable")[:MOST_FEATURES]
-    best = np.sort(best[np.abs(z[best]) > 4])
-    words = words[best]
+    words = words[np.abs(z) > LEAST_Z]
     if not len(words):
-        return np.zeros(0, np.uint32), np.zeros(0), float(np.log(max(prior, 1e-6) / (1 - min(prior, 1 - 1e-6))))
+        return nothing
 
-    def matrix(docs: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    def matrix(docs: list[np.ndarray]) -> Sparse:
         row = np.repeat(np.arange(len(docs)), [len(d) for d in docs])
         flat = np.concatenate(docs)
         k = np.minimum(np.searchsorted(words, flat), len(words) - 1)
         good = words[k] == flat
-        return row[good], k[good]
+        return row[good], k[good], len(docs)
 
-    (rp, kp), (ru, ku) = matrix(positive), matrix(unlabelled)
-    w, bias = np.zeros(len(words)), float(np.log(prior / (1 - prior)))
+    sets = matrix(positive), matrix(unlabelled)
+    w, bias = np.zeros(len(words)), nothing[2]
     state = [np.zeros(len(words) + 1), np.zeros(len(words) + 1)]
-    sigmoid = lambda x: 1 / (1 + np.exp(-np.clip(x, -40, 40)))
     for step in range(1, STEPS + 1):
-        fp = bias + np.bincount(rp, w[kp], len(positive))
-        fu = bias + np.bincount(ru, w[ku], len(unlabelled))
-        sp, su = sigmoid(fp), sigmoid(fu)
-        negative = np.logaddexp(0, fu).mean() - prior * np.logaddexp(0, fp).mean()
-        # Gradients by document: of the loss as positive (s - 1) and as negative (s).
-        gp, gu = prior * (sp - 1) / len(positive), np.zeros(len(unlabelled))
-        hp, hu = -prior * sp / len(positive), su / len(unlabelled)
-        if negative >= 0:
-            gp, gu = gp + hp, gu + hu
-        else:
-            gp, gu = -hp, -hu
-        g = np.append(np.bincount(kp, gp[rp], len(words)) + np.bincount(ku, gu[ru], len(words)) + DECAY * w, gp.sum() + gu.sum())
+        g = risk(w, bias, *sets, prior)[2]
+        g[:-1] += DECAY * w
         for s, x, b in ((0, g, 0.9), (1, g * g, 0.999)):
             state[s] = b * state[s] + (1 - b) * x
         move = RATE * (state[0] / (1 - 0.9**step)) / (np.sqrt(state[1] / (1 - 0.999**step)) + 1e-8)
@@ -114,10 +124,10 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     n, ones = known.agg(F.count(F.lit(1)), F.coalesce(F.sum("y"), F.lit(0))).first()
     prior = min(0.9, max(0.005, ones / n)) if n else 0.05
     texts = docs.select(docs[f"`{id_col}`"].alias("id"), F.coalesce(docs[f"`{text_col}`"], F.lit("")).alias("text")).where("id is not null").where(~held_out(F.col("id")))
-    # Ids first: texts are fetched for the sampled ids alone, at most MOST_POSITIVE and MOST_UNLABELLED.
+    # Ids first: texts are fetched for the sampled ids alone, at most MOST_POSITIVE and MOST_UNLABELLED; of an id's texts the least.
     toxic = sample(known.where("y = 1").select("id"), MOST_POSITIVE)
     any_ids = sample(texts.select("id"), MOST_UNLABELLED)
-    fetch = lambda ids: hashed_words(texts.join(F.broadcast(ids.distinct()), "id"))
+    fetch = lambda ids: hashed_words(texts.join(F.broadcast(ids.distinct()), "id").groupBy("id").agg(F.min("text").alias("text")))
     return fit(fetch(toxic), fetch(any_ids), prior)
 
 
@@ -128,7 +138,7 @@ def score(docs: DataFrame, model: tuple[np.ndarray, np.ndarray, float], id_col:
     """
     words, weights, bias = model
     small_batches(docs.sparkSession)
-    sent = docs.sparkSession.sparkContext.broadcast(({int(k): float(w) for k, w in zip(words, weights, strict=True)}, float(bias)))  # at most MOST_FEATURES
+    sent = docs.sparkSession.sparkContext.broadcast(({int(k): float(w) for k, w in zip(words, weights, strict=True)}, float(bias)))  # words of the sample
 
     @F.pandas_udf("double")
     def judge(texts: pd.Series) -> pd.Series:

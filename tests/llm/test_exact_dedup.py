@@ -2,8 +2,9 @@ import hashlib
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
-from tessera.llm.exact_dedup import SQL, exact_dedup, op5_exact_dedup
+from tessera.llm.exact_dedup import SQL, exact_dedup, filter_pages, hit, op5_exact_dedup, page_of, slots_for
 
 from ..conftest import SMALL
 
@@ -38,6 +39,21 @@ def test_empty_and_hot(spark, no_docs):
     assert got.where("group_size = 1000 and keep_id = 0").count() == 1000
 
 
+def test_few_unique_rows_move(spark):
+    """At 16 slots a row under 1 % of the rows without a twin go to the exact step; the filter tells no twin to be alone."""
+    rows = spark.range(40_000).selectExpr("id", "pmod(xxhash64(id), 1L << 20) slot")
+    twice = rows.groupBy("slot").count().where("count > 1").select("slot")
+    pages = filter_pages(twice)
+    met = rows.join(F.broadcast(pages), page_of("slot") == F.col("page"), "left").select("slot", hit("slot", "words").alias("hit"))
+    assert met.where("hit").count() == rows.join(twice, "slot").count() > 500
+    docs = spark.range(40_000).selectExpr("id doc_id", "cast(id as string) text")
+    plan = exact_dedup(docs)
+    assert slots_for(40_000) == 1 << 20 and plan.where("group_size > 1").count() == 0
+    both = docs.select(F.expr("sha2(text, 256)").alias("sha")).selectExpr("pmod(xxhash64(sha), 1L << 20) a", "pmod(xxhash64(1, sha), 1L << 20) b")
+    one, two = (both.groupBy(c).count().where("count > 1").select(c) for c in "ab")
+    assert both.join(one, "a").join(two, "b").count() < 400
+
+
 def test_python_free(spark):
     plan = op5_exact_dedup(spark, SMALL)._jdf.queryExecution().executedPlan().toString()
     assert not any(x in plan for x in ("Python", "Pandas", "Arrow"))

@@ -170,3 +170,14 @@ def test_samples_are_consistent():
         s = [sampler(x, np.zeros(len(x), np.float32), np.array([0]))[0] for x in (a, b)]
         got.append((s[0] == s[1]).mean())
     assert abs(np.mean(got) - 225 / 275) < 0.03
+
+
+def test_clashing_names_and_ties(spark):
+    """Columns named like outputs give way in the classes and stay in the documents; of equal rows one is kept."""
+    text = words(8, 40)
+    rows = [(5, text, 1, "a", 0.5), (3, text, 2, "b", 0.5), (3, text, 3, "c", 0.5), (None, text, 4, "d", 0.5), (9, words(9, 40), 5, "e", 0.5)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, class_size long, kept string, w double")
+    got = [(r["id"], r["class_id"], r["class_size"], r["kept"]) for r in N.near_duplicates(df).collect()]
+    assert sorted(got, key=str) == sorted([(5, 3, 4, False), (3, 3, 4, True), (3, 3, 4, False), (None, 3, 4, False), (9, 9, 1, True)], key=str)
+    kept = N.drop_near_duplicates(df)
+    assert kept.columns == df.columns and sorted(r["doc_id"] for r in kept.collect()) == [3, 9]

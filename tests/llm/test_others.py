@@ -175,6 +175,58 @@ def test_toxicity(spark, odd_docs, no_docs):
     assert toxicity.score(no_docs, toxicity.train(no_docs, known.limit(0))).count() == 0
 
 
+def plain_risk(w, bias, positive, unlabelled, prior):
+    """The two parts of the non-negative risk, document by document."""
+    score = lambda doc: bias + sum(w[k] for k in doc)
+    as_one, as_zero = (lambda f: math.log(1 + math.exp(-f))), (lambda f: math.log(1 + math.exp(f)))
+    mean = lambda loss, docs: sum(loss(score(d)) for d in docs) / len(docs)
+    return prior * mean(as_one, positive), mean(as_zero, unlabelled) - prior * mean(as_zero, positive)
+
+
+def test_risk_against_loops():
+    """The risk's parts by loops, its gradient by small differences, and the step's turn where the second part is negative."""
+    g = np.random.default_rng(7)
+    signs = set()
+    for trial in range(12):
+        docs = [[sorted(g.choice(5, int(g.integers(0, 5)), replace=False).tolist()) for _ in range(n)] for n in (6, 9)]
+        sparse = [(np.repeat(np.arange(len(d)), [len(x) for x in d]), np.array([k for x in d for k in x], int), len(d)) for d in docs]
+        w, bias, prior = g.normal(size=5) * 2, float(g.normal()) - trial % 2 * 2, (0.2, 0.8)[trial % 2]
+        one, zero, grad = toxicity.risk(w, bias, *sparse, prior)
+        assert np.allclose((one, zero), plain_risk(w, bias, *docs, prior))
+        signs.add(zero >= 0)
+
+        def aim(x, docs=docs, prior=prior, zero=zero):
+            a, b = plain_risk(x[:-1], x[-1], *docs, prior)
+            return a + b if zero >= 0 else -b
+
+        x, h = np.append(w, bias), 1e-6
+        slope = [(aim(x + h * e) - aim(x - h * e)) / (2 * h) for e in np.eye(6)]
+        assert np.allclose(grad, slope, atol=1e-6)
+    assert signs == {True, False}
+
+
+def test_scores_against_loops(spark):
+    words_, weights, bias = np.array(sorted(__import__("zlib").crc32(x) for x in (b"bad", b"good")), np.uint32), np.array([1.5, -2.0]), -0.25
+    weigh = dict(zip(words_.tolist(), weights.tolist(), strict=True))
+    texts = ["bad", "Good bad BAD", "", None, "goodbad, good!", "nothing " * 50_000 + "bad"]
+    df = spark.createDataFrame([(i, t, 7.0, 9, "x") for i, t in enumerate(texts)], "doc_id long, text string, score double, predicted int, held_out string")
+    got = toxicity.score(df, (words_, weights, bias)).orderBy("doc_id").collect()
+    import zlib
+
+    for r, t in zip(got, texts, strict=True):
+        f = bias + sum(weigh.get(zlib.crc32(w.encode()), 0.0) for w in set(re.findall(r"[a-z]+", (t or "").lower())))
+        assert math.isclose(r["score"], 1 / (1 + math.exp(-f)), rel_tol=1e-9) and r["predicted"] == int(f >= 0) and r["held_out"] == (zlib.crc32(str(r["doc_id"]).encode()) % 5 == 0)
+
+
+def test_an_id_counts_once(spark, monkeypatch):
+    docs = spark.createDataFrame([(1, "b"), (1, "a")] * 50 + [(i, f"t{i}") for i in range(2, 30)], "doc_id long, text string")
+    seen = []
+    real = toxicity.hashed_words
+    monkeypatch.setattr(toxicity, "hashed_words", lambda rows: seen.append(sorted(map(tuple, rows.select("id", "text").collect()))) or real(rows))
+    toxicity.train(docs, spark.createDataFrame([(1, 1), (1, 0), (2, 0)], "doc_id long, toxic int"))
+    assert seen[0] in ([(1, "a")], []) and len(seen[1]) == len({i for i, _ in seen[1]})
+
+
 # --- language
 
 

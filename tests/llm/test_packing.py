@@ -53,3 +53,10 @@ def test_encoder_equals_the_public_tokenizer():
     encode, want = encoder(), plain()
     for s in ("", " ", "a  b\n\n c'll 12é🎉", "x<|endoftext|>y", "A" * 300):
         assert [*encode(s), 0] == want(s)
+
+
+def test_clashing_names(spark):
+    """Columns named like outputs, beside the id and the text, change nothing."""
+    df = spark.createDataFrame([(1, "one two", 5, "x"), (2, None, None, None)], "doc_id long, text string, start long, sequence_id string")
+    plain, clash = (sorted(map(tuple, pack(x).drop("ids").collect())) for x in (df.select("doc_id", "text"), df))
+    assert plain == clash and [r[:2] for r in plain] == [(1, 0), (2, 0)]
