@@ -1,80 +1,23 @@
-"""String similarities: set-based ones as Column expressions, edit-based ones as Arrow UDFs.
+"""String similarities: set-based ones as Column expressions, edit-based ones as Arrow UDFs over whole batches.
 
-The UDFs meet each distinct pair of strings once a batch. Scores run from 0 to 100, Jaro-Winkler's from 0 to 1.
+The UDFs meet each distinct pair of strings once a batch; all edit features of a pair come from one of them. Scores run from 0
+to 100, Jaro-Winkler's from 0 to 1.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType
+from pyspark.sql.types import DoubleType, StructField, StructType
 
+from . import edits as E
 from .text import DIGRAPHS, LETTERS_FROM, LETTERS_TO, tokens_of
 
 
-def common_length(a: str, b: str) -> int:
-    """Length of the longest common subsequence, by bit-parallel addition over one machine-independent integer."""
-    if len(a) > len(b):
-        a, b = b, a
-    if not a:
-        return 0
-    where: dict[str, int] = {}
-    for i, c in enumerate(a):
-        where[c] = where.get(c, 0) | 1 << i
-    full = (1 << len(a)) - 1
-    s = full
-    for c in b:
-        u = s & where.get(c, 0)
-        s = ((s + u) | (s - u)) & full
-    return len(a) - s.bit_count()
-
-
-def ratio(a: str, b: str) -> float:
-    n = len(a) + len(b)
-    return 100.0 * 2 * common_length(a, b) / n if n else 100.0
-
-
-def token_sort_ratio(a: str, b: str) -> float:
-    return ratio(" ".join(sorted(a.split())), " ".join(sorted(b.split())))
-
-
-def token_set_ratio(a: str, b: str) -> float:
-    x, y = set(a.split()), set(b.split())
-    if not x or not y:
-        return 0.0
-    both = " ".join(sorted(x & y))
-    p, q = (" ".join(sorted(z)) for z in (x - y, y - x))
-    if both and (not p or not q):
-        return 100.0
-    p, q = f"{both} {p}".strip(), f"{both} {q}".strip()
-    return max(ratio(p, q), *((ratio(both, p), ratio(both, q)) if both else (0.0,)))
-
-
-def _best_window(a: str, b: str) -> float:
-    """Best ratio of ``a`` with any stretch of its length, or shorter at the ends, of ``b``, which is no shorter."""
-    m, best = len(a), 0.0
-    for i in range(1 - m, len(b)):
-        window = b[max(0, i) : i + m]
-        if 200.0 * min(m, len(window)) / (m + len(window)) > best:
-            best = max(best, ratio(a, window))
-            if best == 100.0:
-                break
-    return best
-
-
-def partial_ratio(a: str, b: str) -> float:
-    """The shorter string against windows of the longer; of equally long ones the better way round."""
-    if len(a) > len(b):
-        a, b = b, a
-    if not a:
-        return 0.0 if b else 100.0
-    best = _best_window(a, b)
-    return max(best, _best_window(b, a)) if len(a) == len(b) and best < 100.0 else best
-
-
 def jaro_winkler(a: str, b: str, scale: float = 0.1) -> float:
     if not a or not b:
         return 0.0
@@ -100,21 +43,28 @@ def jaro_winkler(a: str, b: str, scale: float = 0.1) -> float:
     return jaro + prefix * scale * (1 - jaro) if jaro > 0.7 else jaro
 
 
-def _udf(f: Callable[[str, str], float]):
+def _of_pairs(f: Callable[[list[str], list[str]], np.ndarray], a: pd.Series, b: pd.Series) -> np.ndarray:
+    """``f`` of each distinct pair once, null where either string is null."""
+    place: dict[tuple[str, str], int] = {}
+    at = [-1 if x is None or y is None else place.setdefault((x, y), len(place)) for x, y in zip(a, b, strict=True)]
+    found = np.append(f([x for x, _ in place], [y for _, y in place]), np.nan)
+    return found[at]
+
+
+def _udf(f: Callable[[list[str], list[str]], np.ndarray]):
     @F.pandas_udf(DoubleType())
     def scored(a: pd.Series, b: pd.Series) -> pd.Series:
-        known: dict[tuple[str, str], float] = {}
-        out = []
-        for k in zip(a, b, strict=True):
-            if k not in known:
-                known[k] = None if k[0] is None or k[1] is None else f(*k)
-            out.append(known[k])
-        return pd.Series(out, dtype="float64")
+        out = _of_pairs(f, a, b)
+        return pd.Series(out).where(~np.isnan(out), None)
 
     return scored
 
 
-indel_ratio, token_set, token_sort, partial, jaro = (_udf(f) for f in (ratio, token_set_ratio, token_sort_ratio, partial_ratio, jaro_winkler))
+def jaro_winklers(a: list[str], b: list[str]) -> np.ndarray:
+    return np.array([jaro_winkler(x, y) for x, y in zip(a, b, strict=True)], float)
+
+
+indel_ratio, token_set, token_sort, partial, jaro = (_udf(f) for f in (E.ratios, E.token_set_ratios, E.token_sort_ratios, E.partial_ratios, jaro_winklers))
 SQL_FUNCTIONS = {"indel_ratio": indel_ratio, "token_set_ratio": token_set, "token_sort_ratio": token_sort, "partial_ratio": partial, "jaro_winkler": jaro}
 
 
@@ -157,14 +107,22 @@ def set_features(n: dict[str, Column]) -> dict[str, Column]:
     }
 
 
-def edit_features(n: dict[str, Column]) -> dict[str, Column]:
-    """The features of a pair that need one. ``n`` has name1, name2 besides."""
+#: The edit features, by name (fixed values).
+EDIT = tuple(f"{f}_{k}" for f in ("name", "core", "addr") for k in ("ratio", "tset", "tsort", "partial")) + ("core_jw", "skel_tset", "core_nospace_ratio")
+KINDS = {"ratio": E.ratios, "tset": E.token_set_ratios, "tsort": E.token_sort_ratios, "partial": E.partial_ratios, "jw": jaro_winklers}
+
+
+@F.pandas_udf(StructType([StructField(c, DoubleType()) for c in EDIT]))
+def _edit_struct(name1: pd.Series, core1: pd.Series, addr1: pd.Series, skel1: pd.Series, name2: pd.Series, core2: pd.Series, addr2: pd.Series, skel2: pd.Series) -> pd.DataFrame:
+    sides = {"name": (name1, name2), "core": (core1, core2), "addr": (addr1, addr2), "skel": (skel1, skel2)}
+    bare = tuple(x.str.replace(" ", "", regex=False) for x in sides["core"])
     out = {}
-    for field in ("name", "core", "addr"):
-        for kind, f in (("ratio", indel_ratio), ("tset", token_set), ("tsort", token_sort), ("partial", partial)):
-            out[f"{field}_{kind}"] = f(n[f"{field}1"], n[f"{field}2"])
-    out["core_jw"] = jaro(n["core1"], n["core2"])
-    out["skel_tset"] = token_set(n["skel1"], n["skel2"])
-    bare = lambda s: F.replace(s, F.lit(" "), F.lit(""))
-    out["core_nospace_ratio"] = indel_ratio(bare(n["core1"]), bare(n["core2"]))
-    return out
+    for c in EDIT:
+        field, _, kind = c.rpartition("_")
+        out[c] = _of_pairs(KINDS[kind], *(bare if field == "core_nospace" else sides[field]))
+    return pd.DataFrame(out)
+
+
+def edit_struct(n: dict[str, Column]) -> Column:
+    """All features of a pair that need an edit distance, as one struct with the fields ``EDIT``. ``n`` has name1, name2 besides."""
+    return _edit_struct(*[n[f"{f}{i}"] for i in (1, 2) for f in ("name", "core", "addr", "skel")])

@@ -5,13 +5,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.similarity import edit_features, set_features
+from ..functions.similarity import EDIT, edit_struct, set_features
 from .retrieval import QUERY, field_tokens, weighted
 
 FIELDS = ("name_norm", "name_core", "addr_norm", "name_skel")
 SHORT = {"name_norm": "name", "name_core": "core", "addr_norm": "addr", "name_skel": "skel"}
 COSINE_FIELDS = ("name", "skel", "addr", "cng3", "num")
-EDIT = tuple(f"{f}_{k}" for f in ("name", "core", "addr") for k in ("ratio", "tset", "tsort", "partial")) + ("core_jw", "skel_tset", "core_nospace_ratio")
+#: Feature names (fixed values).
 SETS = ("num_jacc", "num_first_eq", "num_n1", "num_n2", "addr_jacc", "core_jacc", "skel_jacc", "core_len1", "core_len2", "addr_empty2")
 CONTEXT = ("ctx_bscore", "ctx_brank", "ctx_gap_top1", "ctx_gap_second", "ctx_q_ncand", "ctx_s1_maxscore_gap", "ctx_s1_ncand", "ctx_s1_ntop")
 
@@ -33,7 +33,8 @@ def set_rows(texts: DataFrame) -> DataFrame:
 
 
 def edit_rows(texts: DataFrame) -> DataFrame:
-    return texts.withColumns(edit_features(_sides()))
+    got = texts.withColumn("__edits", edit_struct(_sides()))
+    return got.select(*texts.columns, *[F.col("__edits")[c].alias(c) for c in EDIT])
 
 
 def context(cands: DataFrame) -> DataFrame:

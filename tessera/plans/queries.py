@@ -97,13 +97,13 @@ def ascii_folding(spark, d):
     return table(spark, d, "documents").select("doc_id", X.ascii_fold(F.col("text")).alias("folded"))
 
 
-NULLISH = "CASE doc_id % 4 WHEN 0 THEN 'n/a ' WHEN 1 THEN '<NULL> ' WHEN 2 THEN 'nullify None ' ELSE '' END || substr(text, 1, 200)"
+NULLISH = "CASE doc_id % 4 WHEN 0 THEN 'n/a ' WHEN 1 THEN '<NULL> ' WHEN 2 THEN 'nullify None ' ELSE '' END || text"
 
 
 @query(f"SELECT doc_id, {Z.blank(NULLISH)} AS blanked FROM documents")
 def null_blank(spark, d):
     mark = F.expr("CASE doc_id % 4 WHEN 0 THEN 'n/a ' WHEN 1 THEN '<NULL> ' WHEN 2 THEN 'nullify None ' ELSE '' END")
-    return table(spark, d, "documents").select("doc_id", X.blank_nulls(F.concat(mark, F.substring("text", 1, 200))).alias("blanked"))
+    return table(spark, d, "documents").select("doc_id", X.blank_nulls(F.concat(mark, F.col("text"))).alias("blanked"))
 
 
 @query(f"SELECT page_id, {Z.site('url')} AS label FROM pages")
@@ -121,7 +121,7 @@ def addr_tokens(spark, d):
     return raw_records(spark, d).select("src", "id", joined(X.address_tokens(F.col("addr_raw"))).alias("tokens"))
 
 
-STREET = "lpad(CAST(l_orderkey % 5000 AS VARCHAR), 6, '0') || CASE l_linenumber % 4 WHEN 0 THEN 'th' WHEN 1 THEN '' WHEN 2 THEN 'st' ELSE 'x' END"
+STREET = "lpad(CAST(l_orderkey AS VARCHAR), 12, '0') || CASE l_linenumber % 4 WHEN 0 THEN 'th' WHEN 1 THEN '' WHEN 2 THEN 'st' ELSE 'x' END"
 
 
 @query(f"SELECT t AS token, {Z.number('t')} AS canonical FROM (SELECT DISTINCT {STREET} AS t FROM lineitem)")
@@ -389,9 +389,7 @@ def pair_set_features(spark, d):
     return P.set_rows(_texts(spark, d)).select(*PAIR, "nonascii2", *P.SETS)
 
 
-@query(f"""WITH {Z.CANDS} SELECT q_src, q_id, s1_id, bscore AS ctx_bscore, CAST(brank AS DOUBLE) AS ctx_brank, round(max(bscore) OVER q - bscore, 6) AS ctx_gap_top1,
-round(bscore - coalesce(max(CASE WHEN brank = 1 THEN bscore END) OVER q, 0), 6) AS ctx_gap_second, count(*) OVER q AS ctx_q_ncand, round(max(bscore) OVER s - bscore, 6) AS ctx_s1_maxscore_gap,
-count(*) OVER s AS ctx_s1_ncand, count(*) FILTER (WHERE brank = 0) OVER s AS ctx_s1_ntop FROM cand WINDOW q AS (PARTITION BY q_src, q_id), s AS (PARTITION BY s1_id)""")
+@query(f"WITH {Z.CANDS} {Z.CONTEXT}")
 def context_features(spark, d):
     return P.context(candidates(spark, d)).select(*PAIR, *P.CONTEXT)
 
@@ -440,7 +438,7 @@ def _pairs_by(name: str, f, tests: str):
         return _texts(spark, d).select(*PAIR, *cols)
 
     run.__name__ = name
-    query()(run)
+    query(f"WITH {Z.CANDS}, {Z.SIDES}, {Z.edit_query(tests)}")(run)
 
 
 _pairs_by("indel_ratio_pairs", S.indel_ratio, "ratio")
@@ -449,10 +447,21 @@ _pairs_by("token_sort_pairs", S.token_sort, "tsort")
 _pairs_by("partial_ratio_pairs", S.partial, "partial")
 
 
-@query()
+KEYED = "USING (q_src, q_id, s1_id)"
+BARE = "SELECT replace(core1, ' ', '') AS p, replace(core2, ' ', '') AS q FROM sd"
+FEATURES = f"""WITH {Z.CANDS}, {Z.SIDES}, cx AS ({Z.CONTEXT}), st AS (SELECT q_src, q_id, s1_id, CAST(nonascii2 AS BIGINT) AS nonascii2, {Z.SETS}, round(jaro_winkler_similarity(core1, core2), 6) AS core_jw FROM sd),
+{', '.join(f"e{k} AS (WITH {Z.edit_query(k)})" for k in ('ratio', 'tset', 'tsort', 'partial'))}, sk AS (WITH {Z.edit_query('tset', ('skel',))}),
+ns AS (WITH {Z.edits(BARE)} SELECT q_src, q_id, s1_id, round(r, 6) AS core_nospace_ratio FROM sd JOIN rt ON rt.p = replace(core1, ' ', '') AND rt.q = replace(core2, ' ', ''))
+SELECT c.q_src, c.q_id, c.s1_id, c.bscore, c.brank, CAST(c.q_src AS DOUBLE) AS q_src_f, cx.* EXCLUDE (q_src, q_id, s1_id), st.* EXCLUDE (q_src, q_id, s1_id),
+{', '.join(f"{x}.* EXCLUDE (q_src, q_id, s1_id)" for x in ('eratio', 'etset', 'etsort', 'epartial', 'sk', 'ns'))}
+FROM cand c JOIN cx {KEYED} JOIN st {KEYED} JOIN eratio {KEYED} JOIN etset {KEYED} JOIN etsort {KEYED} JOIN epartial {KEYED} JOIN sk {KEYED} JOIN ns {KEYED}"""
+
+
+@query(FEATURES)
 def feature_rows(spark, d):
     recs = records(spark, d)
-    return P.features(C.retrieve(recs, cap=CAP, k=K, rel=REL), recs)
+    rows = P.features(C.retrieve(recs, cap=CAP, k=K, rel=REL), recs)
+    return rows.withColumns({c: F.round(c, 6) for c in S.EDIT})
 
 
 # --- assignment and evaluation

@@ -133,6 +133,75 @@ N1, N2 = (f"regexp_extract_all(addr{i}, '\\b\\d+\\b')" for i in (1, 2))
 SETS = f"""{jacc(N1, N2)} AS num_jacc, CAST(CASE WHEN len({N1}) = 0 OR len({N2}) = 0 THEN -1 WHEN ({N1})[1] = ({N2})[1] THEN 1 ELSE 0 END AS DOUBLE) AS num_first_eq,
   CAST(len(list_distinct({N1})) AS BIGINT) AS num_n1, CAST(len(list_distinct({N2})) AS BIGINT) AS num_n2, {jacc(split('addr1'), split('addr2'))} AS addr_jacc, {jacc(split('core1'), split('core2'))} AS core_jacc,
   {jacc(split('skel1'), split('skel2'))} AS skel_jacc, CAST(len({split('core1')}) AS BIGINT) AS core_len1, CAST(len({split('core2')}) AS BIGINT) AS core_len2, CAST(addr2 = '' AS BIGINT) AS addr_empty2"""
+#: Places of a pattern that one 128-bit integer holds; two of them hold any name or address here.
+HALF = 120
+
+
+def edits(need: str, windows: bool = False) -> str:
+    """rt: (p, q, r) with the ratio of each pair of ``need`` (p, q), or the best of the shorter one against its windows.
+
+    The common subsequence's length comes from a bit-parallel addition over two integers, a step a character.
+    """
+    pattern = "string_split(a, '')"
+    half = lambda k: f"list_sum(list_transform({pattern}, lambda x, i: CASE WHEN x = c AND (i - 1) // {HALF} = {k} THEN CAST(1 AS HUGEINT) << ((i - 1) % {HALF}) ELSE CAST(0 AS HUGEINT) END))"
+    full = lambda k: f"(CAST(1 AS HUGEINT) << greatest(least(length(a) - {k * HALF}, {HALF}), 0)) - 1"
+    step = f"""lambda s, m: {{'lo': ((s.lo + (s.lo & m.lo)) | (s.lo - (s.lo & m.lo))) & f0, 'hi': ((s.hi + (s.hi & m.hi) + ((s.lo + (s.lo & m.lo)) >> {HALF})) | (s.hi - (s.hi & m.hi))) & f1}}"""
+    head = f"""need AS MATERIALIZED (SELECT DISTINCT p, q FROM ({need})),
+od AS (SELECT p, q, CASE WHEN length(p) <= length(q) THEN p ELSE q END AS a, CASE WHEN length(p) <= length(q) THEN q ELSE p END AS b FROM need),
+ab AS (SELECT DISTINCT a, b FROM od UNION SELECT b, a FROM od WHERE length(a) = length(b)),
+mk AS MATERIALIZED (SELECT a, b, {full(0)} AS f0, {full(1)} AS f1,
+  list_transform(string_split(b, ''), lambda c: {{'lo': {half(0)}, 'hi': {half(1)}}}) AS ms FROM ab WHERE length(a) > 0)"""
+    if not windows:
+        return f"""{head},
+lc AS MATERIALIZED (SELECT a, b, length(a) - bit_count(z.lo) - bit_count(z.hi) AS n FROM (SELECT a, b, list_reduce(list_concat([{{'lo': f0, 'hi': f1}}], ms), {step}) AS z FROM mk)),
+rt AS MATERIALIZED (SELECT p, q, CASE WHEN length(b) = 0 THEN 100.0 ELSE 200.0 * coalesce(n, 0) / (length(a) + length(b)) END AS r FROM od LEFT JOIN lc USING (a, b))"""
+    return f"""{head},
+wn AS (SELECT a, b, f0, f1, unnest(range(1 - length(a), length(b))) AS i, ms FROM mk),
+wl AS (SELECT a, b, least(i + length(a), length(b)) - greatest(i, 0) AS l, list_reduce(list_concat([{{'lo': f0, 'hi': f1}}], ms[greatest(i, 0) + 1 : i + length(a)]), {step}) AS z FROM wn),
+lc AS MATERIALIZED (SELECT a, b, max(200.0 * (length(a) - bit_count(z.lo) - bit_count(z.hi)) / (length(a) + l)) AS r FROM wl GROUP BY a, b),
+rt AS MATERIALIZED (SELECT od.p, od.q, CASE WHEN length(od.a) = 0 THEN CASE WHEN length(od.b) = 0 THEN 100.0 ELSE 0.0 END WHEN length(od.a) = length(od.b) THEN greatest(x.r, y.r) ELSE x.r END AS r
+  FROM od LEFT JOIN lc x ON x.a = od.a AND x.b = od.b LEFT JOIN lc y ON y.a = od.b AND y.b = od.a)"""
+
+
+def ordered(x: str) -> str:
+    return f"array_to_string(list_sort(list_filter(string_split({x}, ' '), lambda t: t <> '')), ' ')"
+
+
+EDIT_FIELDS = ("name", "core", "addr")
+
+
+def both_sides(fields: tuple[str, ...] = EDIT_FIELDS, of: str = "{}") -> str:
+    return " UNION ALL ".join(f"SELECT {of.format(f + '1')} AS p, {of.format(f + '2')} AS q FROM sd" for f in fields)
+
+
+def token_sets(fields: tuple[str, ...]) -> str:
+    """ts: (s, t) and the strings of the shared tokens, and of those with either side's own, of each pair of fields."""
+    join = lambda x: f"array_to_string(list_sort({x}), ' ')"
+    less = lambda x, y: join(f"list_filter({x}, lambda w: NOT list_contains({y}, w))")
+    return f"""tk AS (SELECT DISTINCT s, t, list_distinct(list_filter(string_split(s, ' '), lambda w: w <> '')) AS x, list_distinct(list_filter(string_split(t, ' '), lambda w: w <> '')) AS y
+  FROM ({both_sides(fields).replace(' AS p', ' AS s').replace(' AS q', ' AS t')})),
+tp AS (SELECT s, t, len(x) = 0 OR len(y) = 0 AS none, {join('list_intersect(x, y)')} AS c, {less('x', 'y')} AS u, {less('y', 'x')} AS v FROM tk),
+ts AS MATERIALIZED (SELECT *, trim(c || ' ' || u) AS p, trim(c || ' ' || v) AS q FROM tp)"""
+
+
+#: The token set ratio of a row of ts joined with rt.
+TSET = """CASE WHEN none THEN 0.0 WHEN c <> '' AND (u = '' OR v = '') THEN 100.0
+  WHEN c <> '' THEN greatest(rt.r, 200.0 * length(c) / (length(c) + length(ts.p)), 200.0 * length(c) / (length(c) + length(ts.q))) ELSE rt.r END"""
+
+
+def edit_query(kind: str, fields: tuple[str, ...] = EDIT_FIELDS, places: str = "round({}, 6)") -> str:
+    """CTEs and the query of one kind of similarity over the candidates: q_src, q_id, s1_id and <field>_<kind>."""
+    if kind == "tset":
+        made = f"{token_sets(fields)}, {edits('SELECT p, q FROM ts')}, fr AS MATERIALIZED (SELECT s AS p, t AS q, {TSET} AS r FROM ts JOIN rt ON rt.p = ts.p AND rt.q = ts.q)"
+        of = "{}"
+    else:
+        of = ordered("{}") if kind == "tsort" else "{}"
+        made = f"{edits(both_sides(fields, of), kind == 'partial')}, fr AS (SELECT * FROM rt)"
+    cols = ", ".join(f"{places.format(f'{f}x.r')} AS {f}_{kind}" for f in fields)
+    joins = " ".join(f"JOIN fr {f}x ON {f}x.p = {of.format(f + '1')} AND {f}x.q = {of.format(f + '2')}" for f in fields)
+    return f"{made} SELECT q_src, q_id, s1_id, {cols} FROM sd {joins}"
+
+
 SCORED = f"""{CANDS},
 {SIDES},
 sc AS MATERIALIZED (SELECT q_src, q_id, s1_id, round((bscore + greatest(core_jacc, 0) + greatest(addr_jacc, 0)) / 3, 6) AS p FROM (SELECT q_src, q_id, s1_id, bscore, {SETS} FROM sd))"""
@@ -154,3 +223,6 @@ cn AS MATERIALIZED (SELECT *, CASE WHEN ntrue = 0 THEN CAST(npred = 0 AS DOUBLE)
 MACRO = """round(avg(f05), 6) AS macro_f05, round(avg(f1), 6) AS macro_f1, count(*) AS n_s1, round(CAST(sum(tp) AS DOUBLE) / greatest(sum(npred), 1), 6) AS pair_precision,
   round(CAST(sum(tp) AS DOUBLE) / greatest(sum(ntrue), 1), 6) AS pair_recall, CAST(sum(npred) - sum(tp) AS BIGINT) AS false_merges,
   round(avg(CASE WHEN ntrue = 0 THEN CAST(npred = 0 AS DOUBLE) END), 6) AS singleton_acc, round(avg(CASE WHEN ntrue > 0 THEN f05 END), 6) AS nonsingleton_f05"""
+CONTEXT = """SELECT q_src, q_id, s1_id, bscore AS ctx_bscore, CAST(brank AS DOUBLE) AS ctx_brank, round(max(bscore) OVER q - bscore, 6) AS ctx_gap_top1,
+round(bscore - coalesce(max(CASE WHEN brank = 1 THEN bscore END) OVER q, 0), 6) AS ctx_gap_second, count(*) OVER q AS ctx_q_ncand, round(max(bscore) OVER s - bscore, 6) AS ctx_s1_maxscore_gap,
+count(*) OVER s AS ctx_s1_ncand, count(*) FILTER (WHERE brank = 0) OVER s AS ctx_s1_ntop FROM cand WINDOW q AS (PARTITION BY q_src, q_id), s AS (PARTITION BY s1_id)"""
