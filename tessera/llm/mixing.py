@@ -141,17 +141,18 @@ def shortest_paths(supply: list[float], demand: list[float], arcs: list[tuple[in
     return flow
 
 
-def mix(docs: DataFrame, members: Column, size: Column, key: Column, share: float = 1.5, weights: tuple[float, ...] = (3, 1, 2), most: int = 2, seed: int = 17) -> DataFrame:
+def mix(docs: DataFrame, members: Column, size: Column, key: Column, share: float = 1.5, weights: tuple[float, ...] = (3, 1, 2), most: int = 2, seed: int = 17, keep: tuple[str, ...] | None = None) -> DataFrame:
     """Each row of ``docs`` with ``size``, ``source_size``, ``target``, ``taken`` and ``copies`` (taken is size times copies).
 
     ``members`` is the array of sources a row belongs to (a null element is a source of its own, an empty or null array
     none: such rows are never taken), ``size`` its words, ``key`` the value the seeded choice rests on. With several
     sources a row's ``source_size`` and ``target`` are the sums over them. Rows of size 0 take nothing. Rows with equal key
-    and pattern are taken alike, so reruns agree however the rows are dealt. An empty table gives an empty result.
+    and pattern are taken alike, so reruns agree however the rows are dealt. ``keep`` names the input columns to carry (default
+    all); one named like an output is replaced. An empty table gives an empty result.
     """
     spark = docs.sparkSession
     pattern = F.to_json(F.struct(F.array_sort(F.array_distinct(F.coalesce(members, F.array().cast("array<string>")))).alias("m")), {"ignoreNullFields": "false"})
-    rows = docs.select(packed(docs, OUTPUT), pattern.alias("__p"), F.coalesce(size, F.lit(0)).cast("long").alias("size"), F.xxhash64(F.lit(seed), key).alias("__h"))
+    rows = docs.select(packed(docs, OUTPUT, keep), pattern.alias("__p"), F.coalesce(size, F.lit(0)).cast("long").alias("size"), F.xxhash64(F.lit(seed), key).alias("__h"))
     rows = rows.withColumn("__bin", F.pmod("__h", F.lit(BINS)).cast("int"))
 
     # Texts are read twice in all, for these narrow rows and for the result.
