@@ -5,10 +5,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.similarity import jaccard
+from ..functions.text import tokens_of
 from .retrieval import QUERY
 
 PAIR = [*QUERY, "s1_id"]
 KS = (1, 2, 3, 5, 10)
+#: Causes of a miss, the first that holds (fixed values).
+CAUSES = ("zero_overlap", "only_capped", "cutoff", "not_topk")
 
 
 def per_entity(counted: DataFrame) -> DataFrame:
@@ -114,12 +118,30 @@ def classifier_misses(best: DataFrame, cands: DataFrame, truth: DataFrame, t: fl
     return rows.withColumn("reason", why).where("reason is not null").select(*QUERY, "true_id", "reason")
 
 
-def slices(rows: DataFrame, attributes: dict[str, Column]) -> DataFrame:
-    """(attribute, value, pairs, found, recall) over every slice at once; ``rows`` has ``hit`` 0 or 1. Grouping sets share a scan."""
-    pairs = F.explode(F.array(*[F.struct(F.lit(k).alias("attribute"), v.cast("string").alias("value")) for k, v in attributes.items()]))
-    return rows.select("hit", pairs.alias("s")).groupBy("s.attribute", "s.value").agg(
-        F.count(F.lit(1)).alias("pairs"), F.sum("hit").alias("found"), F.round(F.avg(F.col("hit").cast("double")), 6).alias("recall")
+def slice_attributes() -> dict[str, Column]:
+    """The attributes by which true pairs are sliced; a pair of texts without tokens on either side overlaps by 0."""
+    overlap = lambda f: F.greatest(jaccard(tokens_of(F.col(f"{f}1")), tokens_of(F.col(f"{f}2"))), F.lit(0.0))
+    name, addr, same = overlap("core"), overlap("addr"), F.col("name1") == F.col("name2")
+    return {
+        "nonascii": F.col("nonascii2"), "country": F.col("country"), "q_addr_empty": F.col("addr2") == "", "q_name_empty": F.col("core2") == "", "exact_name": same,
+        "near_name": (name >= 0.5) & ~same, "weak_name_strong_addr": (name == 0) & (addr >= 0.5), "no_name_no_addr_overlap": (name == 0) & (addr < 0.5), "src": F.concat(F.lit("S"), F.col("q_src").cast("string")),
+    }
+
+
+def slices(rows: DataFrame, attributes: dict[str, Column] | None = None) -> DataFrame:
+    """(attribute, value, pairs, share, recall, misses, and each cause's share of the misses) over every slice at once.
+
+    ``rows`` are true pairs with the cause of their miss, null where they were found, and by default the texts of
+    :func:`..pairs.with_texts` and the entity's country. All slices share a scan.
+    """
+    attributes = attributes or slice_attributes()
+    each = F.explode(F.array(*[F.struct(F.lit(k).alias("attribute"), v.cast("string").alias("value")) for k, v in attributes.items()]))
+    part = lambda c: F.round(F.coalesce(F.try_divide(F.count_if(F.col("cause") == c), F.count("cause")), F.lit(0.0)), 6).alias(c)
+    got = rows.select("cause", each.alias("s")).groupBy("s.attribute", "s.value").agg(
+        F.count(F.lit(1)).alias("pairs"), F.round(F.avg(F.col("cause").isNull().cast("double")), 6).alias("recall"), F.count("cause").alias("misses"), *[part(c) for c in CAUSES]
     )
+    # Every pair has one value of each attribute, so each attribute's pairs sum up to all of them.
+    return got.withColumn("share", F.round(F.col("pairs") / F.sum("pairs").over(Window.partitionBy("attribute")), 6))
 
 
 def summarize(per_fold: DataFrame, metric: str = "macro_f05") -> DataFrame:
@@ -144,6 +166,7 @@ def simulate(superset: DataFrame, truth: DataFrame, queries: DataFrame, policies
     return got.crossJoin(n).select("policy", F.round(F.try_divide("hits", "n_true"), 6).alias("recall"), F.round(F.try_divide("pairs", "nq"), 6).alias("pairs_per_query"))
 
 
+#: Tiers of queries by two conditions, and budgets for them (fixed values).
 TIERS = {
     "A": ("ties >= 5 or nonascii", "addr_empty or ties >= 10"),
     "B": ("ties >= 3 or nonascii", "addr_empty or ties >= 8"),

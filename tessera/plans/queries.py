@@ -22,7 +22,7 @@ from ..operators.validate import list_violations, not_candidates
 from ..sources.lists import id_lists
 from ..sources.shared import kept
 from . import sql as Z
-from .views import CAP, K, REL, candidates, documents, entities, raw_records, records, scored, table, truth
+from .views import CAP, K, REL, candidates, documents, entities, numbered_records, planted_truth, raw_records, records, scored, table, truth
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -87,9 +87,15 @@ def id_parse_roundtrip(spark, d):
     return raw.select("entity_id", src.alias("src"), number.alias("number"), (F.concat(F.lit("S"), src, F.lit("-"), number) == F.col("entity_id")).alias("same"))
 
 
-@query(f"WITH {Z.DOCS} SELECT entity_id, 'form' AS problem FROM raw WHERE NOT regexp_full_match(entity_id, 'S\\d-\\d+') UNION ALL SELECT entity_id, 'repeated' FROM raw GROUP BY entity_id HAVING count(*) > 1")
+SPOILT = "SELECT entity_id FROM raw UNION ALL SELECT replace(entity_id, '-', '-0') FROM raw WHERE id % 50 = 1 UNION ALL SELECT 'X' || entity_id FROM raw WHERE id % 50 = 2 UNION ALL SELECT entity_id FROM raw WHERE id % 70 = 3"
+
+
+@query(f"WITH {Z.DOCS}, sp AS ({SPOILT}) SELECT entity_id, 'form' AS problem FROM sp WHERE NOT regexp_full_match(entity_id, 'S\\d-(0|[1-9]\\d*)') UNION ALL SELECT entity_id, 'repeated' FROM sp GROUP BY entity_id HAVING count(*) > 1")
 def id_problems(spark, d):
-    return R.bad_ids(raw_records(spark, d))
+    """Ids that cannot be used, among the records' own and planted ones."""
+    raw = raw_records(spark, d).select("id", "entity_id")
+    parts = [raw.select("entity_id"), *[raw.where(w).select(F.expr(e).alias("entity_id")) for w, e in (("id % 50 = 1", "replace(entity_id, '-', '-0')"), ("id % 50 = 2", "'X' || entity_id"), ("id % 70 = 3", "entity_id"))]]
+    return R.bad_ids(parts[0].union(parts[1]).union(parts[2]).union(parts[3]))
 
 
 @query(f"SELECT doc_id, {Z.fold('text')} AS folded FROM documents")
@@ -216,10 +222,11 @@ def block_rerank(spark, d):
 
 for _kind in C.RETRIEVERS:
     def _retriever(spark, d, kind=_kind):
-        return candidates(spark, d, kind=kind)
+        recs = numbered_records(spark, d) if kind == "num" else records(spark, d)
+        return C.retrieve(recs, kind, cap=CAP, k=K, rel=REL)
 
     _retriever.__name__ = f"retriever_{_kind}"
-    query(f"WITH {Z.RECORDS}, {Z.weights(Z.FIELD[_kind])}, {Z.pairs()}, {Z.top()} SELECT q_src, q_id, s1_id, bscore, brank FROM cand")(_retriever)
+    query(f"WITH {Z.NUMBERED if _kind == 'num' else Z.RECORDS}, {Z.weights(Z.FIELD[_kind])}, {Z.pairs()}, {Z.top()} SELECT q_src, q_id, s1_id, bscore, brank FROM cand")(_retriever)
 
 UNION = ",\n".join([Z.RECORDS, *[x for i, k in enumerate(("name", "skel", "num")) for x in (Z.weights(Z.FIELD[k], f"u{i}"), Z.pairs(p=f"u{i}"), Z.top(p=f"u{i}"))]])
 
@@ -253,9 +260,9 @@ def query_signals(spark, d):
 # --- truth, recall, diagnoses
 
 
-@query(f"WITH {Z.CANDS}, {Z.TRUTH} SELECT * FROM truth ANTI JOIN cand USING (q_src, q_id, s1_id)")
+@query(f"WITH {Z.CANDS}, {Z.PLANTED} SELECT * FROM truth ANTI JOIN cand USING (q_src, q_id, s1_id)")
 def candidate_anti(spark, d):
-    return E.missed(candidates(spark, d), truth(spark, d))
+    return E.missed(candidates(spark, d), planted_truth(spark, d))
 
 
 @query(f"WITH {Z.CANDS}, {Z.TRUTH} SELECT c.q_src, c.q_id, c.s1_id, c.brank, CAST(t.s1_id IS NOT NULL AS BIGINT) AS label FROM cand c LEFT JOIN truth t USING (q_src, q_id, s1_id)")
@@ -284,13 +291,13 @@ def reduction_ratio(spark, d):
     return E.reduction(candidates(spark, d), records(spark, d))
 
 
-TRUES = f"""{Z.RECORDS}, {Z.weights()}, {Z.pairs(20)}, {Z.top(3)}, {Z.TRUTH},
+TRUES = f"""{Z.RECORDS}, {Z.weights()}, {Z.pairs(20)}, {Z.top(3)}, {Z.PLANTED},
 sh AS (SELECT t.q_src, t.q_id, t.s1_id, count(ix.token) AS n_shared, count(*) FILTER (WHERE ix.df <= 20) AS n_usable, round(coalesce(sum(CASE WHEN ix.df <= 20 THEN wq * ws END), 0), 6) AS score
   FROM truth t LEFT JOIN qw ON qw.q_src = t.q_src AND qw.q_id = t.q_id LEFT JOIN ix ON ix.country = qw.country AND ix.token = qw.token AND ix.s1_id = t.s1_id GROUP BY ALL)"""
 
 
 def _trues(spark, d):
-    recs, true = records(spark, d), truth(spark, d)
+    recs, true = records(spark, d), planted_truth(spark, d)
     w = C.weighted(recs)
     every = C.scored_pairs(w, 20)
     return true, every, C.top_k(every, 3, REL), E.true_scores(true, w.index, w.unit(), 20)
@@ -320,16 +327,24 @@ def miss_histogram(spark, d):
     return rows.groupBy("cause").agg(F.count(F.lit(1)).alias("n"), F.round(F.avg("score"), 6).alias("mean_score"), F.count_if(F.col("score") >= 0.5).alias("high"))
 
 
-ATTRS = {"country": "q.country", "source": "CAST(q.src AS VARCHAR)", "nonascii": "CASE WHEN q.nonascii THEN 'true' ELSE 'false' END", "address": "CASE WHEN q.addr_norm = '' THEN 'empty' ELSE 'given' END", "core_words": "CAST(least(len(q.c), 5) AS VARCHAR)"}
+#: The slices' attributes, of the pair's entity (e) and query (q).
+ATTRS = {
+    "nonascii": "q.nonascii", "country": "e.country", "q_addr_empty": "q.addr_norm = ''", "q_name_empty": "q.name_core = ''", "exact_name": "e.name_norm = q.name_norm",
+    "near_name": "cj >= 0.5 AND e.name_norm <> q.name_norm", "weak_name_strong_addr": "cj = 0 AND aj >= 0.5", "no_name_no_addr_overlap": "cj = 0 AND aj < 0.5", "src": "'S' || q.src",
+}
+SLICED = f"""{CAUSES}, jc AS MATERIALIZED (SELECT t.*, cs.cause, e, q, {Z.jacc(Z.split("e.name_core"), Z.split("q.name_core"))} AS cj, {Z.jacc(Z.split("e.addr_norm"), Z.split("q.addr_norm"))} AS aj
+  FROM truth t JOIN rec e ON e.src = 1 AND e.id = t.s1_id JOIN rec q ON q.src = t.q_src AND q.id = t.q_id LEFT JOIN cs ON cs.q_src = t.q_src AND cs.q_id = t.q_id AND cs.s1_id = t.s1_id),
+sl AS (SELECT * FROM (SELECT cause, greatest(cj, 0) AS cj, greatest(aj, 0) AS aj, e, q FROM jc), LATERAL (SELECT unnest([{', '.join(f"{{'attribute': '{k}', 'value': CAST({v} AS VARCHAR)}}" for k, v in ATTRS.items())}]) AS x))
+SELECT x.attribute, x.value, count(*) AS pairs, round(count(*) / (SELECT count(*) FROM jc), 6) AS share, round(avg(CAST(cause IS NULL AS DOUBLE)), 6) AS recall, count(cause) AS misses,
+{', '.join(f"round(coalesce(count(*) FILTER (WHERE cause = '{c}') / nullif(count(cause), 0), 0), 6) AS {c}" for c in E.CAUSES)} FROM sl GROUP BY ALL"""
 
 
-@query(f"WITH {Z.CANDS}, {Z.TRUTH}, hit AS (SELECT t.*, CAST(c.s1_id IS NOT NULL AS BIGINT) AS hit FROM truth t LEFT JOIN cand c USING (q_src, q_id, s1_id)), " + "sl AS (" + " UNION ALL ".join(f"SELECT '{k}' AS attribute, {v} AS value, hit FROM hit JOIN rec q ON q.src = q_src AND q.id = q_id" for k, v in ATTRS.items()) + ") SELECT attribute, value, count(*) AS pairs, CAST(sum(hit) AS BIGINT) AS found, round(avg(hit), 6) AS recall FROM sl GROUP BY attribute, value")
+@query(f"WITH {SLICED}")
 def slice_report(spark, d):
-    recs = records(spark, d)
-    hits = truth(spark, d).join(candidates(spark, d).select(*PAIR).withColumn("hit", F.lit(1)), PAIR, "left").withColumn("hit", F.coalesce("hit", F.lit(0)))
-    rows = hits.join(recs.select(F.col("src").alias("q_src"), F.col("id").alias("q_id"), "country", "nonascii", "addr_norm", "name_core"), list(QUERY))
-    words = F.least(F.size(X.tokens_of(F.col("name_core"))), F.lit(5))
-    return E.slices(rows, {"country": F.col("country"), "source": F.col("q_src"), "nonascii": F.col("nonascii"), "address": F.when(F.col("addr_norm") == "", "empty").otherwise("given"), "core_words": words})
+    """Recall, misses and their causes in slices of the true pairs."""
+    recs, (true, _, cands, trues) = records(spark, d), _trues(spark, d)
+    causes = E.miss_causes(trues.join(cands, PAIR, "left_anti"), cands, REL).select(*PAIR, "cause")
+    return E.slices(P.with_texts(true, recs).join(recs.where("src = 1").select(F.col("id").alias("s1_id"), "country"), "s1_id").join(causes, PAIR, "left"))
 
 
 RULES = [("k10 r0.4", 10, 0.4, 10, 0.4, 99), ("k5 r0.4", 5, 0.4, 5, 0.4, 99), ("k10 hard 30", 10, 0.4, 30, 0.3, 5), ("k3 hard 50", 3, 0.5, 50, 0.2, 3)]
@@ -605,9 +620,10 @@ def cube_totals(spark, d):
     return table(spark, d, "lineitem").cube("l_returnflag", "l_linestatus").agg(F.count(F.lit(1)).alias("n"), F.round(F.sum("l_quantity"), 2).alias("qty"), F.round(F.avg("l_discount"), 4).alias("disc"))
 
 
-@query("SELECT c_custkey, c_name FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders)")
+@query("SELECT c_custkey, c_name FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_totalprice > 250000)")
 def customers_without_orders(spark, d):
-    return table(spark, d, "customer").join(table(spark, d, "orders").select(F.col("o_custkey").alias("c_custkey")), "c_custkey", "left_anti").select("c_custkey", "c_name")
+    """Customers without a large order."""
+    return table(spark, d, "customer").join(table(spark, d, "orders").where("o_totalprice > 250000").select(F.col("o_custkey").alias("c_custkey")), "c_custkey", "left_anti").select("c_custkey", "c_name")
 
 
 @query("SELECT o_custkey, o_orderkey, o_totalprice, rn FROM (SELECT o_custkey, o_orderkey, o_totalprice, row_number() OVER (PARTITION BY o_custkey ORDER BY o_totalprice DESC, o_orderkey) AS rn FROM orders) WHERE rn <= 3")

@@ -113,6 +113,9 @@ SUPER = ",\n".join([RECORDS, weights(), pairs(), top(50, 0.2)])
 TRUTH = f"""hd AS (SELECT src, id, country, substr(text, 1, {SEEN}) AS head FROM doc),
 truth AS MATERIALIZED (SELECT h.src AS q_src, h.id AS q_id, s1_id FROM hd h JOIN (SELECT country, head, min(id) AS s1_id FROM hd WHERE src = 1 GROUP BY ALL) o
   ON h.country = o.country AND h.head = o.head WHERE h.src > 1)"""
+PLANTED = TRUTH.replace("truth AS MATERIALIZED (", "truth AS MATERIALIZED (SELECT * FROM (") + """ UNION SELECT q.src, q.id, e.s1_id FROM doc q JOIN (SELECT country, min(id) AS s1_id FROM doc WHERE src = 1 GROUP BY country) e
+  ON q.country = e.country WHERE q.src > 1 AND q.id % 7 = 0)"""
+NUMBERED = RECORDS.replace("[9:24], ' ') AS addr_raw", "[9:24], ' ') || ' ' || (id % 97) AS addr_raw")
 FOLD = "((id % 4294967296) * 2654435761 % 4294967296) % 5"
 ENT = f"ent AS MATERIALIZED (SELECT id AS s1_id, country, {FOLD} AS fold FROM raw WHERE src = 1)"
 

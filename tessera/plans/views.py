@@ -64,6 +64,21 @@ def truth(spark: SparkSession, sf_dir: str) -> DataFrame:
     return docs.where("src <> 1").join(own, ["country", "head"]).select(F.col("src").alias("q_src"), F.col("id").alias("q_id"), "s1_id")
 
 
+def planted_truth(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """:func:`truth`, and for every seventh query the least entity of its country, which hardly any of them resembles: the
+    diagnoses of misses have something to tell."""
+    docs = documents(spark, sf_dir).select("src", "id", "country")
+    least = docs.where("src = 1").groupBy("country").agg(F.min("id").alias("s1_id"))
+    far = docs.where("src <> 1 and id % 7 = 0").join(least, "country").select(F.col("src").alias("q_src"), F.col("id").alias("q_id"), "s1_id")
+    return truth(spark, sf_dir).union(far).distinct()
+
+
+def numbered_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Prepared records whose addresses end with a number, as the texts themselves hold hardly any."""
+    raw = raw_records(spark, sf_dir)
+    return kept(normalized(raw.withColumn("addr_raw", F.concat_ws(" ", "addr_raw", (F.col("id") % 97).cast("string")))))
+
+
 def candidates(spark: SparkSession, sf_dir: str, **how) -> DataFrame:
     return retrieve(records(spark, sf_dir), **({"cap": CAP, "k": K, "rel": REL} | how))
 

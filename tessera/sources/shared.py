@@ -8,8 +8,11 @@ from pyspark.sql import DataFrame
 
 
 def kept(df: DataFrame) -> DataFrame:
-    """An eager reliable checkpoint; a temporary folder serves only where the session names none, as in tests."""
+    """An eager reliable checkpoint; a temporary folder serves only a local session that names none, as in tests."""
     sc = df.sparkSession.sparkContext
     if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(df.sparkSession.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="tessera-shared-"))
+        named = df.sparkSession.conf.get("spark.checkpoint.dir", None)
+        if not named and not sc.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        sc.setCheckpointDir(named or tempfile.mkdtemp(prefix="tessera-shared-"))
     return df.checkpoint()
