@@ -11,6 +11,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..sources.shared import kept
 from .pairs import feature_names
 from .retrieval import QUERY
 
@@ -52,7 +53,7 @@ def out_of_fold(rows: DataFrame, folds: tuple[int, ...] = (0, 1, 2, 3, 4), param
     the model of their number modulo the models.
     """
     names = feature_names(rows, drop)
-    rows = rows.persist()
+    rows = kept(rows)  # every fold reads it, and the scores outlive this call
     scored, importance = None, []
     use = only or folds
     for i, k in enumerate(use):

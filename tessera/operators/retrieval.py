@@ -12,6 +12,8 @@ from ..functions import text as T
 QUERY = ("q_src", "q_id")
 #: Countries are few; up to so many, their sizes travel by broadcast.
 FEW_COUNTRIES = 10_000
+#: Tokens in more entities of a country make no pairs (fixed value, the default).
+CAP = 5000
 
 
 def token_rows(records: DataFrame, tokens: Column | str = "tokens") -> DataFrame:
@@ -129,7 +131,7 @@ def field_tokens(kind: str) -> Column:
 RETRIEVERS = ("name", "skel", "addr", "num", "cng3", "cng4")
 
 
-def retrieve(records: DataFrame, kind: str | None = None, k: int = 10, rel: float = 0.4, cap: int = 50, rerank: bool = False) -> DataFrame:
+def retrieve(records: DataFrame, kind: str | None = None, k: int = 10, rel: float = 0.4, cap: int = CAP, rerank: bool = False) -> DataFrame:
     """(q_src, q_id, s1_id, bscore, brank) of all tokens, or of one single-field retriever."""
     return top_k(scored_pairs(weighted(records, "tokens" if kind is None else field_tokens(kind)), cap, rerank), k, rel)
 

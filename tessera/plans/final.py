@@ -55,7 +55,7 @@ def by_country(best: DataFrame, truth: DataFrame, entities: DataFrame) -> dict[s
 def run(spark: SparkSession, at: Layout, params: dict | None = None, **how) -> dict:
     """Returns the policy, its held-out metrics and the violations found in the written lists (none is the rule)."""
     records = prepare(spark, at, "train")
-    truth = lists.resumable(spark, at.table("train", "truth"), lambda: lists.truth_pairs(lists.read_tsv(spark, at.truth(), _truth_schema())))
+    truth = lists.resumable(spark, at.table("train", "truth"), lambda: lists.must_exist(lists.truth_pairs(lists.read_tsv(spark, at.truth(), _truth_schema())), records))
     entities = records.where("src = 1").select(F.col("id").alias("s1_id"), "country", R.fold_of(F.col("id")).alias("fold"))
     _, feats = feature_table(spark, at, "train", records, **how)
     rows = E.labelled(feats, truth).join(entities.select("s1_id", "fold"), "s1_id")
@@ -74,8 +74,8 @@ def run(spark: SparkSession, at: Layout, params: dict | None = None, **how) -> d
         raise ValueError("the features of the test split differ from the model's")
     matched = A.assign(A.best_per_query(L.score(feats, model, names)), policy["t"], policy["margin"], policy["t3"])
     own = test.where("src = 1").select(F.col("id").alias("s1_id"))
-    lists.write_lists(lists.id_lists(matched, own), at.output("matching_results.tsv"))
-    lists.write_lists(lists.id_lists(cands, own, "candidate_entity_ids"), at.output("candidate_pairs.tsv"))
+    lists.write_list_file(lists.id_lists(matched, own), at.output("matching_results.tsv"))
+    lists.write_list_file(lists.id_lists(cands, own, "candidate_entity_ids"), at.output("candidate_pairs.tsv"))
 
     written = [lists.read_lists(spark, at.output(n)) for n in ("matching_results.tsv", "candidate_pairs.tsv")]
     required = own.select(F.concat(F.lit("S1-"), F.col("s1_id").cast("string")).alias("s1"))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import csv
+import io
 import json
 
 from pyspark.sql import DataFrame, SparkSession
@@ -44,6 +46,15 @@ def truth_pairs(raw: DataFrame) -> DataFrame:
     return each.select(src.alias("q_src"), number.alias("q_id"), "s1_id")
 
 
+def must_exist(truth: DataFrame, records: DataFrame) -> DataFrame:
+    """``truth``, if each of its ids is one of the records'; else an error that names a few that are not."""
+    ids = truth.select(F.explode(F.array(F.struct(F.lit(1).cast("int").alias("src"), F.col("s1_id").alias("id")), F.struct(F.col("q_src").cast("int").alias("src"), F.col("q_id").alias("id")))).alias("x")).select("x.*").distinct()
+    lost = ids.join(records.select(F.col("src").cast("int").alias("src"), "id"), ["src", "id"], "left_anti").orderBy("src", "id").limit(5).collect()
+    if lost:
+        raise ValueError(f"ids of the truth that no record has: {[f'S{r['src']}-{r['id']}' for r in lost]}")
+    return truth
+
+
 def id_lists(pairs: DataFrame, entities: DataFrame, column: str = "matched_entity_ids") -> DataFrame:
     """A row for every entity, with its queries' ids sorted by source and number, without repeats, comma-joined; maybe empty."""
     ids = F.transform(F.array_sort(F.collect_set(F.struct("q_src", "q_id"))), lambda x: F.concat(F.lit("S"), x["q_src"].cast("string"), F.lit("-"), x["q_id"].cast("string")))
@@ -57,6 +68,34 @@ def write_lists(lists: DataFrame, path: str) -> None:
     lists.orderBy("s1_id").select(*names).write.mode("overwrite").option("sep", "\t").option("header", True).option("quote", "").option("escape", "").option("emptyValue", "").csv(path)
 
 
+def write_list_file(lists: DataFrame, path: str) -> None:
+    """:func:`write_lists` as one file with one header, as validators of single files want it. The parts are written by all
+    tasks and then joined in order as streams of bytes, so that no row passes through the driver's memory."""
+    spark = lists.sparkSession
+    parts = f"{path}.parts"
+    names = [c for c in lists.columns if c != "s1_id"]
+    lists.orderBy("s1_id").select(*names).write.mode("overwrite").option("sep", "\t").option("quote", "").option("escape", "").option("emptyValue", "").csv(parts)
+    folder, fs = _file(spark, parts)
+    begun, _ = _file(spark, f"{path}.begun")
+    hadoop, conf = spark.sparkContext._jvm.org.apache.hadoop, spark.sparkContext._jsc.hadoopConfiguration()
+    out = fs.create(begun, True)
+    try:
+        out.write(bytearray(("\t".join(names) + "\n").encode()))
+        for at in sorted(str(f.getPath()) for f in fs.listStatus(folder)):
+            if at.rsplit("/", 1)[-1].startswith("part-"):
+                part = fs.open(_file(spark, at)[0])
+                try:
+                    hadoop.io.IOUtils.copyBytes(part, out, conf, False)
+                finally:
+                    part.close()
+    finally:
+        out.close()
+    target, _ = _file(spark, path)
+    fs.delete(target, True)
+    fs.rename(begun, target)
+    fs.delete(folder, True)
+
+
 def read_lists(spark: SparkSession, path: str) -> DataFrame:
     """(s1, ids) of lines as they stand, for validation; ids is null where a line has no tab. The header line is dropped."""
     lines = spark.read.text(path)
@@ -107,14 +146,30 @@ def read_json(spark: SparkSession, path: str) -> object:
 
 
 def append_log(spark: SparkSession, path: str, row: dict, columns: list[str]) -> None:
-    """One row more in a CSV log; columns the row lacks are empty."""
-    schema = T.StructType([T.StructField(c, T.StringType()) for c in columns])
-    values = tuple(None if row.get(c) is None else str(row[c]) for c in columns)
-    spark.createDataFrame([values], schema).coalesce(1).write.mode("append").option("header", True).csv(path)
+    """One line more in a CSV log of one file; columns the row lacks are empty. The new log takes the old one's place whole."""
+    have = "\n".join(r["value"] for r in spark.read.text(path).collect()) + "\n" if exists(spark, path) else ""  # a line an experiment
+    text = io.StringIO(newline="")
+    sheet = csv.DictWriter(text, columns, lineterminator="\n", extrasaction="ignore")
+    if not have:
+        sheet.writeheader()
+    sheet.writerow({c: "" if row.get(c) is None else row[c] for c in columns})
+    write_text(spark, path, have + text.getvalue())
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    begun, fs = _file(spark, f"{path}.begun")
+    out = fs.create(begun, True)
+    try:
+        out.write(bytearray(text.encode()))
+    finally:
+        out.close()
+    target, _ = _file(spark, path)
+    fs.delete(target, False)
+    fs.rename(begun, target)
 
 
-def markdown(df: DataFrame, title: str, most: int = 200) -> str:
-    """A small aggregate as a Markdown table; ``most`` is the report's length."""
-    rows = df.limit(most).collect()
+def markdown(df: DataFrame, title: str) -> str:
+    """An aggregate of a few rows as a Markdown table; the caller bounds its rows."""
+    rows = df.collect()
     line = lambda xs: "| " + " | ".join("" if x is None else str(x) for x in xs) + " |"
-    return "\n".join([f"## {title}", line(df.columns), line("---" for _ in df.columns), *(line(r) for r in rows)])
+    return "\n".join([f"## {title}", "", line(df.columns), line("---" for _ in df.columns), *(line(r) for r in rows), ""])

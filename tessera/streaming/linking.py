@@ -9,10 +9,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 from ..operators.assign import assign, best_per_query
-from ..operators.retrieval import retrieve
+from ..operators.retrieval import CAP, retrieve
 
 
-def link(records: DataFrame, t: float = 0.6, margin: float = 0.2, cap: int = 50) -> DataFrame:
+def link(records: DataFrame, t: float = 0.6, margin: float = 0.2, cap: int = CAP) -> DataFrame:
     cands = retrieve(records, cap=cap)
     return assign(best_per_query(cands.withColumnRenamed("bscore", "p")), t, margin)
 

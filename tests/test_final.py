@@ -41,7 +41,7 @@ def test_run(spark, tmp_path):
     again = run(spark, at, params, cap=1000)  # every table is there already
     assert again == got
     want = dict(line.split("\t") for line in (data / "test_ground_truth.tsv").read_text().splitlines()[1:])
-    lines = [x.split("\t") for f in (tmp_path / "output/matching_results.tsv").glob("part-*") for x in f.read_text().splitlines()]
+    lines = [x.split("\t") for x in (tmp_path / "output/matching_results.tsv").read_text().splitlines()]
     found = {x[0]: x[1] for x in lines if x[0] != "source1_entity_id"}
     assert found.keys() == want.keys() and sum(found[k] == want[k] for k in want) >= 27
     best = A.best_per_query(spark.read.parquet(at.table("train", "scores")))

@@ -6,7 +6,9 @@ from pyspark.sql import functions as F
 from tessera.operators import assign as A
 from tessera.operators import evaluate as E
 from tessera.operators import learn as L
+from tessera.operators import pairs as P
 from tessera.operators import records as R
+from tessera.operators import report
 from tessera.operators import retrieval as C
 from tessera.operators.validate import list_violations, not_candidates
 from tessera.sources import lists
@@ -102,6 +104,45 @@ def test_policy_search(spark):
     assert got["f05"] == 1.0 and 0.65 < got["t"] <= 0.75
 
 
+def test_policies_against_single_runs(spark):
+    """Every policy's score from one pass equals the metric of its own assignment, entities without a prediction included."""
+    import random
+
+    g = random.Random(3)
+    scored = spark.createDataFrame([(g.choice((2, 3)), q, g.randrange(25), round(g.random(), 3)) for q in range(120) for _ in range(2)], SCORES).dropDuplicates(["q_src", "q_id", "s1_id"])
+    truth = scored.where("q_id % 3 = 0").groupBy("q_src", "q_id").agg(F.max("s1_id").alias("s1_id"))
+    entities, best = spark.range(30).toDF("s1_id"), A.best_per_query(scored).cache()
+    grid = [(0.3, 0.0, None), (0.5, 0.1, None), (0.5, 0.1, 0.9), (1.1, 0.0, None)]
+    got = {(r["t"], r["margin"], r["t3"]): (r["macro_f05"], r["macro_f1"]) for r in A.policy_scores(best, truth, entities, grid).collect()}
+    for t, m, t3 in grid:
+        want = E.macro_f05(entities, A.assign(best, t, m, t3), truth).first()
+        assert got[t, m, t3] == pytest.approx((want["macro_f05"], want["macro_f1"]), abs=1e-6)
+    first = A.first_search(scored, truth, entities.where("s1_id < 20"), entities.where("s1_id >= 20"))
+    assert first["f05"] == max(x["f05"] for x in first["search"]) and 19 < len(first["search"]) <= 19 + 48 and first["holdout"]["n_s1"] == 10 and set(first["threshold_only"]) == {0.3, 0.5, 0.7}
+
+
+def test_truth_must_exist(spark, people):
+    truth = spark.createDataFrame([(2, 1, 1), (3, 1, 2)], "q_src int, q_id long, s1_id long")
+    assert lists.must_exist(truth, people).count() == 2
+    with pytest.raises(ValueError, match="S1-77"):
+        lists.must_exist(truth.union(spark.createDataFrame([(2, 1, 77)], truth.schema)), people)
+
+
+def test_miss_report(spark, people):
+    recs = people
+    truth = spark.createDataFrame([(2, 1, 1), (3, 1, 2), (2, 2, 1)], "q_src int, q_id long, s1_id long")
+    w = C.weighted(recs)
+    every = C.scored_pairs(w, 50)
+    cands = C.top_k(every)
+    trues = E.true_scores(truth, w.index, w.unit(), 50)
+    misses = E.unlimited_rank(E.miss_causes(trues.join(cands, E.PAIR, "left_anti"), cands, 0.4), every)
+    country = recs.where("src = 1").select(F.col("id").alias("s1_id"), "country")
+    pairs = P.with_texts(truth, recs).join(country, "s1_id").join(misses.select(*E.PAIR, "cause"), E.PAIR, "left")
+    scored = cands.select(*E.PAIR, F.col("bscore").alias("p"))
+    text = report.miss_report("Test", truth, misses, pairs, A.best_per_query(scored), scored, 0.99, 0.0)
+    assert "missed: 1" in text and "| zero_overlap | 1 | 1.0 | 0.3333 |" in text and "| q_name_empty | true | 1 | 0.0 | 1 | 1.0 | 0.0 | 0.0 | 0.0 | 0.333333 |" in text and "| below_threshold | 1 |" in text
+
+
 def test_ids(spark):
     raw = spark.createDataFrame([("S1-10",), ("S1-007",), ("bad",), ("S2-5",), ("S2-5",)], "entity_id string")
     assert {tuple(r) for r in R.bad_ids(raw).collect()} == {("S1-007", "form"), ("bad", "form"), ("S2-5", "repeated")}
@@ -141,7 +182,14 @@ def test_files(spark, tmp_path):
     assert seen == [3, 2]
     lists.append_log(spark, str(tmp_path / "log"), {"a": 1}, ["a", "b"])
     lists.append_log(spark, str(tmp_path / "log"), {"b": 2}, ["a", "b"])
-    assert spark.read.option("header", True).csv(str(tmp_path / "log")).count() == 2
+    lists.append_log(spark, str(tmp_path / "log"), report.experiment({"a": 'x, "y"'}, {"k": 1}) | {"b": None}, ["a", "b", "config_hash", "timestamp"][:2])
+    assert (tmp_path / "log").read_text() == 'a,b\n1,\n,2\n"x, ""y""",\n'
+    row = report.experiment({"exp_id": "E1"}, {"k": 1}, parent="E0")
+    assert list(row) == report.COLUMNS and len(row) == 36 and row["timestamp"] and row["config_hash"] and row["parent"] == "E0"
+    one = tmp_path / "one.tsv"
+    lists.write_list_file(lists.id_lists(pairs, spark.range(1, 40).toDF("s1_id")).repartition(5), str(one))
+    lines = one.read_text().split("\n")
+    assert lines[:3] == ["source1_entity_id\tmatched_entity_ids", "S1-1\tS2-9,S3-5", "S1-2\t"] and len(lines) == 41 and lines[-1] == "" and not (tmp_path / "one.tsv.parts").exists()
     assert "| id |" in lists.markdown(spark.range(1).toDF("id"), "t")
 
 
