@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
 from . import edits as E
-from .text import DIGRAPHS, LETTERS_FROM, LETTERS_TO, tokens_of
+from .text import DIGRAPHS, LETTERS_FROM, LETTERS_TO, fold_table, tokens_of
 
 
 def jaro_winkler(a: str, b: str, scale: float = 0.1) -> float:
@@ -69,9 +69,16 @@ SQL_FUNCTIONS = {"indel_ratio": indel_ratio, "token_set_ratio": token_set, "toke
 
 
 def register(spark) -> None:
-    """The similarities and the phonetic skeleton by name for SQL text; the latter is an SQL function, without Python."""
+    """The similarities, the folding to ASCII and the phonetic skeleton by name for SQL text; the last is an SQL function."""
     for name, f in SQL_FUNCTIONS.items():
         spark.udf.register(name, f)
+    folds = str.maketrans(fold_table())
+
+    @F.pandas_udf("string")
+    def fold(s: pd.Series) -> pd.Series:
+        return s.map(lambda t: None if t is None else t.translate(folds).lower())
+
+    spark.udf.register("ascii_fold", fold)
     s = "t"
     for a, b in DIGRAPHS:
         s = f"replace({s}, '{a}', '{b}')"
