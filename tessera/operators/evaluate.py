@@ -209,5 +209,5 @@ def coverage(rows: DataFrame, columns: tuple[str, ...]) -> DataFrame:
 
 
 def chosen(rows: DataFrame, n: int, *key: str, seed: int = 0) -> DataFrame:
-    """``n`` rows without replacement, the same in every run: those whose hashed key is least."""
-    return rows.orderBy(F.xxhash64(F.lit(seed), *key), *key).limit(n)
+    """``n`` rows without replacement, the same in every run: those whose key's digest is least."""
+    return rows.orderBy(F.md5(F.concat_ws("|", F.lit(str(seed)), *[F.col(c).cast("string") for c in key])), *key).limit(n)

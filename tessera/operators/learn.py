@@ -8,7 +8,7 @@ import json
 from pyspark.ml.classification import GBTClassificationModel, GBTClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..sources.shared import kept
@@ -24,15 +24,19 @@ def assembled(rows: DataFrame, names: list[str]) -> DataFrame:
     return VectorAssembler(inputCols=names, outputCol="features").transform(rows)
 
 
+def share_of(salt: int, *key: str) -> Column:
+    """0 to 0.9999 by the digest of a key, the same in any engine."""
+    digest = F.substring(F.md5(F.concat_ws("|", F.lit(str(salt)), *[F.col(c).cast("string") for c in key])), 1, 8)
+    return F.pmod(F.conv(digest, 16, 10).cast("long"), F.lit(10_000)) / 10_000.0
+
+
 def sampled_training(rows: DataFrame, keep_entities: float = 1.0, keep_easy: float = 1.0, hard_rel: float = 0.6, seed: int = 0) -> DataFrame:
     """Training rows with ``weight``: whole entities by hash, all positives and hard negatives (rank 0 or near the query's
-    best score), and a share of easy negatives that weighs for the rest."""
-    share = lambda salt, *c: F.pmod(F.xxhash64(F.lit(seed + salt), *c), F.lit(10_000)) / 10_000.0
-    rows = rows.where(share(1, "s1_id") < keep_entities)
-    best = F.max("bscore").over(Window.partitionBy(*QUERY))
-    hard = (F.col("label") == 1) | (F.col("brank") == 0) | (F.col("bscore") >= hard_rel * best)
-    rows = rows.withColumn("hard", hard).where(F.col("hard") | (share(2, *QUERY, "s1_id") < keep_easy))
-    return rows.withColumn("weight", F.when(F.col("hard"), 1.0).otherwise(1.0 / keep_easy)).drop("hard")
+    best score over all its candidates), and a share of easy negatives that weighs for the rest."""
+    rows = rows.withColumn("best", F.max("bscore").over(Window.partitionBy(*QUERY))).where(share_of(seed + 1, "s1_id") < keep_entities)
+    hard = (F.col("label") == 1) | (F.col("brank") == 0) | (F.col("bscore") >= hard_rel * F.col("best"))
+    rows = rows.withColumn("hard", hard).where(F.col("hard") | (share_of(seed + 2, *QUERY, "s1_id") < keep_easy))
+    return rows.withColumn("weight", F.when(F.col("hard"), 1.0).otherwise(1.0 / keep_easy)).drop("hard", "best")
 
 
 def train(rows: DataFrame, names: list[str], params: dict | None = None, validation: str | None = None):

@@ -19,8 +19,9 @@ from ..operators import records as R
 from ..operators import retrieval as C
 from ..operators.retrieval import QUERY
 from ..operators.validate import list_violations, not_candidates
+from ..sources import lists as files
 from ..sources.lists import id_lists
-from ..sources.shared import kept
+from ..sources.shared import kept, scratch
 from . import sql as Z
 from .views import CAP, K, REL, candidates, documents, entities, numbered_records, planted_truth, raw_records, records, scored, table, truth
 
@@ -612,6 +613,120 @@ def gbt_oof(spark, d):
     return L.out_of_fold(rows, params={"maxDepth": 4, "maxIter": 8})[0]
 
 
+@query(f"WITH {Z.CANDS}, {Z.TRUTH}, lb AS (SELECT c.*, CAST(t.s1_id IS NOT NULL AS BIGINT) AS label, max(bscore) OVER (PARTITION BY c.q_src, c.q_id) AS best FROM cand c LEFT JOIN truth t USING (q_src, q_id, s1_id)), hd2 AS (SELECT *, label = 1 OR brank = 0 OR bscore >= 0.6 * best AS hard FROM lb WHERE {Z.share(1, 's1_id')} < 0.8) SELECT q_src, q_id, s1_id, label, CASE WHEN hard THEN 1.0::DOUBLE ELSE 1.0::DOUBLE / 0.3 END AS weight FROM hd2 WHERE hard OR {Z.share(2, 'q_src', 'q_id', 's1_id')} < 0.3")
+def training_sample(spark, d):
+    """Training rows of four fifths of the entities, with three tenths of the easy negatives."""
+    rows = E.labelled(candidates(spark, d), truth(spark, d))
+    return L.sampled_training(rows, keep_entities=0.8, keep_easy=0.3).select(*PAIR, "label", "weight")
+
+
+@query(f"WITH {Z.DOCS}, {Z.ENT} SELECT s1_id, md5('5|' || s1_id) AS place FROM ent ORDER BY place, s1_id LIMIT 20")
+def chosen_entities(spark, d):
+    """Twenty entities without replacement, the same in every run."""
+    own = entities(spark, d).select("s1_id")
+    return E.chosen(own, 20, "s1_id", seed=5).select("s1_id", F.md5(F.concat_ws("|", F.lit("5"), F.col("s1_id").cast("string"))).alias("place"))
+
+
+@query("SELECT row_number() OVER () - 1 AS place, column_name AS name FROM (DESCRIBE lineitem) WHERE column_name NOT IN ('l_comment', 'l_shipmode')")
+def schema_columns(spark, d):
+    """Names in order from the file's footer alone, without those that are dropped."""
+    return spark.createDataFrame(list(enumerate(P.feature_names(table(spark, d, "lineitem"), ("l_comment", "l_shipmode")))), "place long, name string")
+
+
+@query(_grid_sql("g.t") + " ORDER BY macro_f05 DESC, t, margin LIMIT 1")
+def policy_argmax(spark, d):
+    """The best policy of the grid, ties to the lower threshold and the smaller margin."""
+    return _grid(spark, d).orderBy(F.desc("macro_f05"), "t", "margin").limit(1)
+
+
+# --- files written to the shared folder and read again
+
+
+@query(f"WITH {Z.DOCS} SELECT src, id, entity_id, country, name_raw, addr_raw FROM raw")
+def tsv_roundtrip(spark, d):
+    """Records of three sources as verbatim TSV folders, scanned as the parts of one table."""
+    raw, at = raw_records(spark, d), scratch(spark)
+    parts = []
+    for src in (1, 2, 3):
+        rows = raw.where(F.col("src") == src).select("entity_id", F.col("name_raw").alias("business_name"), F.col("addr_raw").alias("business_address"), "country")
+        files.write_tsv(rows, f"{at}/source{src}")
+        parts.append(files.raw_records(files.read_tsv(spark, f"{at}/source{src}"), src))
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
+@query(f"WITH {Z.DOCS} SELECT src, id, country, length(name_raw) AS name_length FROM raw")
+def resumed_table(spark, d):
+    """A partitioned zstd table asked for twice; the second time it is read, not made."""
+    at = f"{scratch(spark)}/records"
+    files.resumable(spark, at, lambda: raw_records(spark, d).select("src", "id", "country", F.length("name_raw").alias("name_length")), ("src",))
+    return files.resumable(spark, at, _never, ("src",)).select("src", "id", "country", "name_length")
+
+
+def _never() -> DataFrame:
+    raise AssertionError("a finished table is not made again")
+
+
+@query(f"WITH {Z.DOCS} SELECT id, md5(name_raw) AS digest, CASE WHEN src = 2 THEN 0 ELSE 1 END AS made FROM raw")
+def keyed_store(spark, d):
+    """A keyed table of digests, first of source 2 and then topped up with the keys it lacks."""
+    rows, at = raw_records(spark, d).select("src", "id", "name_raw"), f"{scratch(spark)}/digests"
+    digest = lambda made: lambda new: new.select("id", F.md5("name_raw").alias("digest"), F.lit(made).cast("long").alias("made"))
+    files.top_up(spark, at, rows.where("src = 2"), ["id"], digest(0))
+    return files.top_up(spark, at, rows, ["id"], digest(1))
+
+
+@query(f"WITH {Z.BEST}, {Z.ENT}, k AS ({KEPT}), l AS (SELECT s1_id, string_agg('S' || q_src || '-' || q_id, ',' ORDER BY q_src, q_id) AS ids FROM k GROUP BY s1_id) SELECT 'S1-' || e.s1_id AS s1, coalesce(ids, '') AS ids, 'ok' AS header FROM ent e LEFT JOIN l ON e.s1_id = l.s1_id")
+def list_file(spark, d):
+    """The result lists as one TSV file with one header, read again line by line."""
+    at = f"{scratch(spark)}/matching_results.tsv"
+    files.write_list_file(id_lists(_assigned(spark, d), entities(spark, d).select("s1_id")), at)
+    return files.read_lists(spark, at).withColumn("header", F.lit(files.header_of(spark, at)))
+
+
+@query(f"WITH {Z.DOCS}, {Z.TRUTH} SELECT q_src, q_id, s1_id FROM truth")
+def truth_file(spark, d):
+    """The truth as lists in TSV, read again as pairs; each of its ids must be a record's."""
+    at = f"{scratch(spark)}/truth"
+    lists = id_lists(truth(spark, d), entities(spark, d).select("s1_id"))
+    files.write_tsv(lists.select("source1_entity_id", "matched_entity_ids"), at)
+    fields = T.StructType([T.StructField(c, T.StringType()) for c in ("source1_entity_id", "matched_entity_ids")])
+    return files.must_exist(files.truth_pairs(files.read_tsv(spark, at, fields)), raw_records(spark, d))
+
+
+TALLY = "SELECT lang, count(*) AS n FROM documents GROUP BY lang"
+
+
+def _tally(spark, d) -> list:
+    """A row a language."""
+    return table(spark, d, "documents").groupBy("lang").agg(F.count(F.lit(1)).alias("n")).orderBy("lang").collect()
+
+
+@query(TALLY)
+def json_roundtrip(spark, d):
+    """Counts by language as a JSON document."""
+    at = f"{scratch(spark)}/counts.json"
+    files.write_json(spark, at, {r["lang"]: r["n"] for r in _tally(spark, d)})
+    return spark.createDataFrame(sorted(files.read_json(spark, at).items()), "lang string, n long")
+
+
+@query(f"SELECT lang, CAST(n AS VARCHAR) AS n, '' AS note FROM ({TALLY})")
+def appended_log(spark, d):
+    """Counts by language as lines appended one by one to a CSV log; columns that a line lacks are empty."""
+    at = f"{scratch(spark)}/log.csv"
+    for r in _tally(spark, d):
+        files.append_log(spark, at, r.asDict(), ["lang", "n", "note"])
+    log = spark.read.option("header", True).csv(at)
+    return log.select("lang", "n", F.coalesce("note", F.lit("")).alias("note"))
+
+
+@query(f"SELECT '| ' || lang || ' | ' || n || ' |' AS line FROM ({TALLY}) UNION ALL SELECT unnest(['## Languages', '| lang | n |', '| --- | --- |'])")
+def markdown_table(spark, d):
+    """Counts by language as a Markdown table, line by line."""
+    at = f"{scratch(spark)}/report.md"
+    files.write_text(spark, at, files.markdown(table(spark, d, "documents").groupBy("lang").agg(F.count(F.lit(1)).alias("n")), "Languages"))
+    return spark.read.text(at).where("value <> ''").select(F.col("value").alias("line"))
+
+
 # --- plain relational forms over the star schema
 
 

@@ -45,6 +45,11 @@ def skeleton(t: str) -> str:
     return f"CASE WHEN regexp_full_match({t}, '\\d+') THEN '' ELSE {once} END"
 
 
+def share(salt: int, *key: str) -> str:
+    """:func:`tessera.operators.learn.share_of` with the default seed."""
+    return f"(('0x' || substr(md5({salt} || '|' || {" || '|' || ".join(key)}), 1, 8))::BIGINT % 10000) / 10000.0::DOUBLE"
+
+
 def name_words(x: str) -> str:
     s = site(f"replace({blank(fold(x))}, chr(38), ' and ')")
     s = f"regexp_replace({s}, '[.'']', '', 'g')"

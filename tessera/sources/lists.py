@@ -30,6 +30,11 @@ def read_tsv(spark: SparkSession, path: str, schema: T.StructType = RAW) -> Data
     return df.select(*[F.coalesce(c, F.lit("")).alias(c) for c in df.columns])
 
 
+def write_tsv(df: DataFrame, path: str) -> None:
+    """Strings verbatim, each part with a header, no quoting or escapes; what :func:`read_tsv` reads."""
+    df.write.mode("overwrite").option("sep", "\t").option("header", True).option("quote", "").option("escape", "").option("emptyValue", "").csv(path)
+
+
 def raw_records(raw: DataFrame, src: int) -> DataFrame:
     """The record columns of a raw table of one source."""
     from ..operators.records import parse_id
