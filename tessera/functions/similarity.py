@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
 from . import edits as E
-from .text import DIGRAPHS, LETTERS_FROM, LETTERS_TO, fold_table, tokens_of
+from .text import DIGRAPHS, LETTERS_FROM, LETTERS_TO, tokens_of, whole_fold_table
 
 
 def jaro_winkler(a: str, b: str, scale: float = 0.1) -> float:
@@ -72,7 +72,7 @@ def register(spark) -> None:
     """The similarities, the folding to ASCII and the phonetic skeleton by name for SQL text; the last is an SQL function."""
     for name, f in SQL_FUNCTIONS.items():
         spark.udf.register(name, f)
-    folds = str.maketrans(fold_table())
+    folds = str.maketrans(whole_fold_table())
 
     @F.pandas_udf("string")
     def fold(s: pd.Series) -> pd.Series:

@@ -1,12 +1,14 @@
 """Normalization of names and addresses as Column expressions; nothing here leaves the JVM.
 
 Folding to ASCII follows tables made from the Unicode character database by rule: accents drop, letters of Indic scripts
-become the consonant or vowel their name spells without the inherent vowel, digits become digits. Characters without a rule
-stay and act as separators.
+become the consonant or vowel their name spells without the inherent vowel, letters of other alphabets the sound their name
+begins with, syllables of Korean and Japanese their name, digits become digits. Characters without a rule (Chinese ones: their
+names tell no sound) stay and act as separators.
 """
 
 from __future__ import annotations
 
+import re
 import unicodedata
 from functools import lru_cache
 
@@ -53,6 +55,48 @@ LETTERS_FROM, LETTERS_TO = "cqzvmaeiouyh", "kkswn"
 SPECIAL = {"ß": "ss", "ẞ": "ss", "æ": "ae", "Æ": "ae", "œ": "oe", "Œ": "oe", "ø": "o", "Ø": "o", "đ": "d", "Đ": "d", "ł": "l", "Ł": "l", "þ": "th", "Þ": "th", "ð": "d", "Ð": "d", "ı": "i", "°": "deg"}
 COMMON = ("ß", "æ", "œ", "Æ", "Œ", "°")
 INDIC = ("DEVANAGARI", "BENGALI", "GURMUKHI", "GUJARATI", "ORIYA", "TAMIL", "TELUGU", "KANNADA", "MALAYALAM")
+# Scripts whose letters' names begin with the letter's sound, words of names that do not, and sounds that are written otherwise.
+NAMED = ("GREEK", "HEBREW", "ARABIC", "ARMENIAN", "GEORGIAN", "THAI")
+MARKS_OF_FORM = ("FINAL", "FARSI", "SMALL", "CAPITAL", "YIDDISH", "SWASH")
+SPELT = {"rho": "r", "tcheh": "ch", "thal": "dh", "xeh": "kh", "upsilon": "y", "keheh": "k"}
+# The Cyrillic alphabets' letters, whose names do not tell them apart so simply.
+CYRILLIC = {
+    "а": "a", "б": "b", "в": "v", "г": "g", "д": "d", "е": "e", "ж": "zh", "з": "z", "и": "i", "й": "y", "к": "k", "л": "l",
+    "м": "m", "н": "n", "о": "o", "п": "p", "р": "r", "с": "s", "т": "t", "у": "u", "ф": "f", "х": "kh", "ц": "ts", "ч": "ch",
+    "ш": "sh", "щ": "shch", "ъ": "", "ы": "y", "ь": "", "э": "e", "ю": "yu", "я": "ya", "ё": "yo", "є": "ye", "і": "i", "ї": "yi",
+    "ґ": "g", "ђ": "dj", "ј": "j", "љ": "lj", "њ": "nj", "ћ": "c", "џ": "dz", "ў": "w", "ѓ": "g", "ѕ": "dz", "ќ": "k",
+}
+# Japanese syllables whose common spelling differs from their character's name.
+KANA = {"si": "shi", "ti": "chi", "tu": "tsu", "hu": "fu", "zi": "ji", "di": "ji", "du": "zu"}
+# The leading, middle and final sounds of Korean syllables in the order of their code points.
+KOREAN = (
+    "g gg n d dd r m b bb s ss - j jj c k t p h".replace("-", "").split(" "),
+    "a ae ya yae eo e yeo ye o wa wae oe yo u weo we wi yu eu yi i".split(" "),
+    "- g gg gs n nj nh d l lg lm lb ls lt lp lh m b bs s ss ng j c k t p h".replace("-", "").split(" "),
+)
+KOREAN_FROM, KOREAN_TO = 0xAC00, 0xD7A3
+
+
+def lettered(char: str, name: str) -> str | None:
+    """ASCII for a letter of a script other than Latin and the Indic ones, or None."""
+    kind = unicodedata.category(char)
+    if name.startswith("CYRILLIC"):
+        low = char.lower()
+        return CYRILLIC.get(low, CYRILLIC.get(unicodedata.normalize("NFD", low)[0]))
+    if name.startswith("HANGUL SYLLABLE"):
+        return name.split()[-1].lower()
+    if (kana := unicodedata.name(unicodedata.normalize("NFKC", char)[0], "")).startswith(("HIRAGANA LETTER", "KATAKANA LETTER")):
+        sound = kana.split()[-1].lower()
+        return KANA.get(sound, sound)
+    if "PROLONGED SOUND MARK" in name:
+        return ""
+    if name.startswith("THAI") and "SARA" in name:
+        return re.sub(r"(.)\1+", r"\1", name.split()[3].lower())
+    if name.startswith(NAMED) and kind[0] == "L":
+        words = [w for w in re.split("LETTER |CHARACTER |LIGATURE ", name)[-1].split() if w not in MARKS_OF_FORM]
+        word = words[0].lower() if words else ""
+        return SPELT.get(word) or (re.match("[aeiou]|[^aeiou]+", word) or [None])[0]
+    return None
 
 
 def folded(char: str) -> str | None:
@@ -62,6 +106,8 @@ def folded(char: str) -> str | None:
     if (digit := unicodedata.digit(char, None)) is not None:
         return str(digit)
     name = unicodedata.name(char, "")
+    if (sound := lettered(char, name)) is not None:
+        return sound
     if name.startswith(INDIC):
         *_, kind, sound = ["", *name.replace("VOWEL SIGN", "SIGN").split()]
         if kind == "LETTER" or kind == "SIGN" and "VOWEL" in name:
@@ -77,10 +123,19 @@ def folded(char: str) -> str | None:
     return plain.lower() if plain.isascii() and plain.strip() else None
 
 
+@lru_cache(maxsize=1)
+def whole_fold_table() -> dict[str, str]:
+    """:func:`fold_table` with the Korean syllables, for use outside the JVM."""
+    return fold_table() | {chr(c): folded(chr(c)) for c in range(KOREAN_FROM, KOREAN_TO + 1)}
+
+
 @lru_cache(maxsize=1)
 def fold_table() -> dict[str, str]:
-    """character -> ASCII over Latin, combining marks, Indic blocks and full-width forms."""
-    blocks = ((0xA0, 0x250), (0x300, 0x370), (0x900, 0xD80), (0x1E00, 0x1F00), (0x2000, 0x2070), (0xFF00, 0xFF60))
+    """character -> ASCII over the blocks that have rules, but for Korean syllables, which :func:`korean` computes."""
+    blocks = (
+        (0xA0, 0x250), (0x300, 0x700), (0x900, 0xD80), (0xE00, 0xE80), (0x10A0, 0x1100), (0x1C90, 0x1CC0),
+        (0x1E00, 0x2000), (0x2000, 0x2070), (0x3040, 0x3100), (0xFF00, 0xFFA0),
+    )
     found = {chr(c): folded(chr(c)) for lo, hi in blocks for c in range(lo, hi)}
     return {k: v for k, v in found.items() if v is not None}
 
@@ -89,6 +144,15 @@ def is_ascii(s: Column) -> Column:
     return ~s.rlike(r"[^\x00-\x7F]")
 
 
+def korean(c: Column) -> Column:
+    """The spelling of one Korean syllable, null for other characters."""
+    at = F.ascii(c) - F.lit(KOREAN_FROM)
+    middle, final = len(KOREAN[1]), len(KOREAN[2])
+    places = (F.floor(at / (middle * final)), F.floor(at / final) % middle, at % final)
+    spelt = F.concat(*[F.get(F.split(F.lit(" ".join(x)), " "), p.cast("int")) for x, p in zip(KOREAN, places, strict=True)])
+    return F.when((at >= 0) & (at <= KOREAN_TO - KOREAN_FROM), spelt)
+
+
 def ascii_fold(s: Column) -> Column:
     """Lower-case ASCII. Characters with one letter or none are translated by hash lookup; those with several are replaced,
     the rarer of them only in rows that hold one."""
@@ -99,8 +163,8 @@ def ascii_fold(s: Column) -> Column:
     out = F.translate(s, "".join(one) + "".join(none), "".join(one.values()))
     for k in COMMON:
         out = F.replace(out, F.lit(k), F.lit(several.pop(k)))
-    lookup = F.map_from_arrays(F.array(*[F.lit(k) for k in several]), F.array(*[F.lit(v) for v in several.values()]))
-    walked = F.array_join(F.transform(F.split(out, ""), lambda c: F.coalesce(F.try_element_at(lookup, c), c)), "")
+    lookup = F.str_to_map(F.lit(",".join(f"{k}:{v}" for k, v in several.items())))
+    walked = F.array_join(F.transform(F.split(out, ""), lambda c: F.coalesce(F.try_element_at(lookup, c), korean(c), c)), "")
     return F.lower(F.when(is_ascii(s), s).otherwise(F.when(is_ascii(out), out).otherwise(walked)))
 
 

@@ -109,5 +109,5 @@ def test_sql_names(spark):
     S.register(spark)
     got = spark.sql("SELECT indel_ratio('ab', 'ab') AS r, phonetic_skeleton('marketimg') AS k, phonetic_skeleton('12') AS n").first()
     assert (got["r"], got["k"], got["n"]) == (100, "nrktng", "")
-    words_ = spark.createDataFrame([("Café ŒUVRE 12",), ("परफेक्ट",), (None,), ("",)], "s string")
+    words_ = spark.createDataFrame([("Café ŒUVRE 12",), ("परफेक्ट",), ("Москва 한국 東京",), (None,), ("",)], "s string")
     assert [r[0] for r in words_.selectExpr("ascii_fold(s)").collect()] == [r[0] for r in words_.select(ascii_fold(F.col("s"))).collect()]

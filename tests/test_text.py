@@ -40,11 +40,23 @@ def test_skeleton(spark, word, want):
         assert X.skeleton_text(word) == want
 
 
-@pytest.mark.parametrize("raw, want", [("परफेक्ट", "prphekt"), ("Straße Œuvre", "strasse oeuvre"), ("ÉCOLE", "ecole"), ("plain", "plain"), ("Ａ１", "a1")])
+@pytest.mark.parametrize("raw, want", [("परफेक्ट", "prphekt"), ("Straße Œuvre", "strasse oeuvre"), ("ÉCOLE", "ecole"), ("plain", "plain"), ("Ａ１", "a1"), ("Борис Щука", "boris shchuka"), ("Άλφα", "alpha"),
+     ("תל אביב", "tl abyb"), ("شركة", "shrkt"), ("さいたま トヨタ", "saitama toyota"), ("서울", "seoul"), ("თბილისი", "tbilisi"), ("東京", "東京")])
 def test_fold(spark, raw, want):
     assert one(spark, raw, X.ascii_fold) == want
 
 
+def test_fold_of_every_korean_syllable(spark):
+    """Computed from the code point, each is what its character's name spells."""
+    every = [chr(c) for c in range(X.KOREAN_FROM, X.KOREAN_TO + 1)]
+    got = spark.createDataFrame([(c,) for c in every], "c string").select("c", X.ascii_fold(F.col("c")).alias("f")).collect()
+    assert {r["c"]: r["f"] for r in got} == {c: X.folded(c) for c in every}
+
+
+def test_records_in_other_scripts_have_tokens(spark):
+    assert one(spark, "ООО Ромашка", X.name_tokens) == ["ooo", "romashka"]
+
+
 @pytest.mark.parametrize("t, want", [("03520", "3520"), ("35th", "35"), ("000", "0"), ("1st", "1"), ("abc", "abc"), ("x07", "x07")])
 def test_number_token(spark, t, want):
     assert one(spark, t, X.number_token) == want
