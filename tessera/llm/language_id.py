@@ -31,6 +31,7 @@ PULL_HOST, PULL_SUFFIX, PULL_TABLE = 20.0, 50.0, 1.0
 TEMPER = 0.2
 #: At most so many hosts have their priors broadcast (a few MB); beyond it they are joined by shuffle.
 BROADCAST_HOSTS = 50_000
+PORTION = 1 << 20
 OUTPUT = ("detected", "confidence", "accepted")
 
 
@@ -48,6 +49,18 @@ def trigrams(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     return code[good], size
 
 
+def portions(texts: list[str]) -> Iterator[list[str]]:
+    """The texts in order, in lists of at most ``PORTION`` characters or one text: scoring takes some 20 bytes a character."""
+    begin = size = 0
+    for i, t in enumerate(texts):
+        size += len(t)
+        if size > PORTION and i > begin:
+            yield texts[begin:i]
+            begin, size = i, len(t)
+    if begin < len(texts):
+        yield texts[begin:]
+
+
 def text_scores(texts: list[str], model: np.ndarray) -> np.ndarray:
     """texts x languages: tempered log-likelihoods. An empty text scores 0 everywhere."""
     code, size = trigrams(texts)
@@ -100,9 +113,12 @@ def suffix_of(host: Column) -> Column:
     return F.when(host.contains("."), F.substring_index(host, ".", -1)).otherwise(F.lit(""))
 
 
-def identify(docs: DataFrame, text_col: str = "text", declared_col: str | None = "lang", host_col: str | None = None, url_col: str | None = None, keep: tuple[str, ...] | None = None, accept: tuple[str, ...] | None = None, least: float = 0.5, fit_rows: int = FIT_ROWS) -> DataFrame:
+def identify(docs: DataFrame, text_col: str = "text", declared_col: str | None = "lang", host_col: str | None = None, url_col: str | None = None, keep: tuple[str, ...] | None = None, accept: tuple[str, ...] | None = None, least: float = 0.5, fit_rows: int = FIT_ROWS, inside: tuple[str, str] | None = None) -> DataFrame:
     """Each row of ``docs`` with ``detected, confidence, accepted``.
 
+    ``inside`` names a kept struct column and its field that holds the text, in place of ``text_col``: long texts are then
+    carried once.
+
     ``host_col`` names the host, or ``url_col`` an address to take it from. A row is accepted when its text holds a letter,
     its best language's posterior is at least ``least``, and ``accept`` (default: all modelled) has that language. A text
     without any letter is ``und`` with confidence 0, and so is one that declares a language without a model. Of languages with
@@ -112,24 +128,30 @@ def identify(docs: DataFrame, text_col: str = "text", declared_col: str | None =
     """
     spark = docs.sparkSession
     small_batches(spark)
-    text = F.coalesce(docs[f"`{text_col}`"], F.lit(""))
+    if inside:
+        place, beside = F.col(ROW)[inside[0]][inside[1]], []
+    elif text_col in (docs.columns if keep is None else keep) and text_col not in OUTPUT:
+        place, beside = F.col(ROW)[text_col], []
+    else:
+        place, beside = F.col("__text"), [docs[f"`{text_col}`"].alias("__text")]
+    text = F.coalesce(place, F.lit(""))
     tag = F.lower(F.trim(F.coalesce(docs[f"`{declared_col}`"], F.lit("")))) if declared_col else F.lit("")
     host = host_of(docs[f"`{url_col}`"]) if url_col else F.coalesce(docs[f"`{host_col}`"], F.lit("")) if host_col else F.lit("")
-    rows = docs.select(packed(docs, OUTPUT, keep), text.alias("__text"), F.regexp_extract(tag, "^[a-z]*", 0).alias("__declared"), host.cast("string").alias("__host"))
-    names, model = fit_models(rows, "__declared", "__text", fit_rows)
+    rows = docs.select(packed(docs, OUTPUT, keep), *beside, F.regexp_extract(tag, "^[a-z]*", 0).alias("__declared"), host.cast("string").alias("__host"))
+    names, model = fit_models(rows.select("__declared", text.alias("__text")), "__declared", "__text", fit_rows)
     models = spark.sparkContext.broadcast(model)  # 65,536 floats a language, at most MAX_LANGUAGES of them
 
     @F.pandas_udf("array<double>")
     def score(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for texts in map(list, batches):
             out: list[np.ndarray] = []
-            for i in range(0, len(texts), 256):
-                out += list(text_scores(texts[i : i + 256], models.value))
+            for part in portions(texts):
+                out += list(text_scores(part, models.value))
             yield pd.Series(out)
         give_back()
 
-    letters = F.col("__text").rlike(r"\p{L}") & F.col("__declared").isin(["", *names])  # and can be judged
-    scored = rows.withColumn("__s", score("__text"))
+    letters = text.rlike(r"\p{L}") & F.col("__declared").isin(["", *names])  # and can be judged
+    scored = rows.withColumn("__s", score(text))
     best = F.array_position("__s", F.array_max("__s")).cast("int") - 1
     said = scored.where(letters).groupBy("__host", "__declared", best.alias("l")).count()
     said = said.persist() if len(names) > 1 else said
