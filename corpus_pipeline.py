@@ -38,7 +38,7 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     that too few rows declare to be modelled. Null languages and sources are no evidence; repeated rows are judged alike;
     of languages with the same posterior the first by code point counts. Very long texts are read whole.
     """
-    return rows_of(identify(whole(docs), host_col="source", keep=(ROW,)).where("accepted"), docs)
+    return rows_of(identify(whole(docs), host_col="source", keep=(ROW,), inside=(ROW, "text")).where("accepted"), docs)
 
 
 def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
