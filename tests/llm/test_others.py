@@ -532,3 +532,12 @@ def test_mix_of_overlapping_sources(spark):
     got = mixing.mix(df, F.col("sources"), F.col("n"), F.col("doc_id")).collect()
     assert sum(r["taken"] for r in got) == pytest.approx(4500, abs=40)
     assert all(r["taken"] == 0 for r in got if r["doc_id"] >= 998) and json
+
+
+def test_language_portions(monkeypatch):
+    """Texts are scored in order, in lists of bounded size; a longer text is a list of its own."""
+    from tessera.llm import language_id as L
+
+    monkeypatch.setattr(L, "PORTION", 5)
+    assert list(L.portions(["abc", "de", "fghijkl", "", "m"])) == [["abc", "de"], ["fghijkl"], ["", "m"]]
+    assert list(L.portions([])) == []
